@@ -74,8 +74,9 @@ class MzMLWriter(DataSourceWriter):
     def _system(self):
         from pyarrow import fs
 
-        if self.path.startswith("/"):
-            return fs.LocalFileSystem(), self.path
+        local = self.path.removeprefix("file:").replace("///", "/", 1)
+        if local.startswith("/") and not local.startswith("//"):
+            return fs.LocalFileSystem(), local
         return fs.FileSystem.from_uri(self.path)
 
     def write(self, rows: Iterator) -> Written:

@@ -178,6 +178,15 @@ def test_network_equals_brute_force(spark, scratch, chunk):
     assert sum(shards) == len(want)
 
 
+def test_network_without_any_match(spark, scratch):
+    """Peaks in neighbouring bins that are further apart than the tolerance."""
+    rows = [
+        dict(path="p", scan=n, precursor_mz=1.0, charge=1, mz=[100.001 + 0.06 * n], intensity=[1.0]) for n in range(2)
+    ]
+    frame = spectra_frame(spark, rows).withColumnRenamed("scan", "id")
+    assert network_pairs(frame, ClusterParams(), scratch).count() == 0
+
+
 def test_greedy_prefers_the_larger_product():
     keep = greedy_matches(np.zeros(3, int), np.array([0, 0, 1]), np.array([5, 6, 5]), np.array([0.9, 0.2, 0.5]))
     assert keep.tolist() == [True, False, False]
