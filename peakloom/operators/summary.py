@@ -94,14 +94,18 @@ def titled(df: DataFrame, titles: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(name).alias(title) for name, title in titles.items()])
 
 
-def nested(scan_list: DataFrame) -> DataFrame:
-    """One row per cluster with its members as an array, for export to callers that want it.
+def nested(scan_list: DataFrame, page_size: int = 1000) -> DataFrame:
+    """Members as arrays, for callers that want them nested: (cluster_id, page, scan_list).
 
-    A cluster becomes a single row here, so this suits small results; every operator in this
-    package works on the flat scan list.
+    A cluster is cut into pages of about ``page_size`` members by a hash of the scan, so no row and
+    no task holds a whole large cluster.
     """
-    return scan_list.groupBy("cluster_id").agg(
-        F.sort_array(F.collect_list(F.struct("path", "scan", "precursor_mz", "retention_time"))).alias("scan_list")
+    pages = scan_list.groupBy("cluster_id").agg(F.ceil(F.count("*") / page_size).cast("bigint").alias("_pages"))
+    return (
+        scan_list.join(pages, "cluster_id")
+        .withColumn("page", F.pmod(F.xxhash64("path", "scan"), F.col("_pages")).cast("int"))
+        .groupBy("cluster_id", "page")
+        .agg(F.sort_array(F.collect_list(F.struct("path", "scan", "precursor_mz", "retention_time"))).alias("scan_list"))
     )
 
 
