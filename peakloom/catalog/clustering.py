@@ -172,7 +172,63 @@ def mzml_round_trip(spark, sf):
 
 
 
-@query()
+# The same bookkeeping in SQL: l0 clusters the even documents; n1 holds the odd ones with the
+# representatives and samples of l0; what stays alone meets the even left-overs in the last step.
+TWO_BATCHES_SQL = (
+    "WITH RECURSIVE "
+    + EDGES_SQL
+    + """,
+sim AS MATERIALIZED (
+  SELECT x, y FROM edges UNION ALL SELECT y, x FROM edges UNION ALL SELECT DISTINCT doc_id, doc_id FROM vec),
+e0 AS MATERIALIZED (SELECT x, y FROM sim WHERE x % 2 = 0 AND y % 2 = 0 AND x <> y),
+r0 AS (SELECT DISTINCT x, x AS y FROM e0 UNION SELECT r.x, e.y FROM r0 r JOIN e0 e ON r.y = e.x),
+l0 AS MATERIALIZED (
+  SELECT doc_id, dense_rank() OVER (ORDER BY root) AS cluster_id
+  FROM (SELECT x AS doc_id, min(y) AS root FROM r0 GROUP BY x)),
+sums AS (SELECT cluster_id, bin, sum(w) AS s FROM vec JOIN l0 USING (doc_id) GROUP BY ALL),
+score AS (
+  SELECT cluster_id, doc_id, round(sum(w * s), 9) AS score
+  FROM vec JOIN l0 USING (doc_id) JOIN sums USING (cluster_id, bin) GROUP BY ALL),
+medoid AS (SELECT cluster_id, arg_min(doc_id, (-score, doc_id)) AS doc_id FROM score GROUP BY cluster_id),
+sampled AS (
+  SELECT cluster_id, doc_id FROM (
+    SELECT *, count(*) OVER (PARTITION BY cluster_id) AS n,
+           row_number() OVER (PARTITION BY cluster_id ORDER BY md5('0|/docs/documents.mzML|' || doc_id), doc_id) AS k FROM l0)
+  WHERE n > 5 AND k <= 5),
+n1 AS MATERIALIZED (
+  SELECT 'd' || doc_id AS k, doc_id, NULL::BIGINT AS known FROM spec WHERE doc_id % 2 = 1
+  UNION ALL SELECT 'c' || cluster_id, doc_id, cluster_id FROM medoid
+  UNION ALL SELECT 's' || doc_id, doc_id, cluster_id FROM sampled),
+e1 AS MATERIALIZED (
+  SELECT a.k AS x, b.k AS y FROM n1 a JOIN sim ON a.doc_id = sim.x JOIN n1 b ON b.doc_id = sim.y WHERE a.k <> b.k),
+r1 AS (SELECT DISTINCT x, x AS y FROM e1 UNION SELECT r.x, e.y FROM r1 r JOIN e1 e ON r.y = e.x),
+g1 AS MATERIALIZED (SELECT x AS k, min(y) AS root FROM r1 GROUP BY x),
+c1 AS MATERIALIZED (
+  SELECT root, min(known) AS known, min(CASE WHEN known IS NULL THEN doc_id END) AS first
+  FROM g1 JOIN n1 USING (k) GROUP BY root),
+base AS (SELECT coalesce(max(cluster_id), 0) AS top FROM l0),
+id1 AS MATERIALIZED (
+  SELECT root, known AS cluster_id FROM c1 WHERE known IS NOT NULL
+  UNION ALL
+  SELECT root, (SELECT top FROM base) + dense_rank() OVER (ORDER BY first) FROM c1 WHERE known IS NULL),
+m1 AS MATERIALIZED (SELECT doc_id, cluster_id FROM n1 JOIN g1 USING (k) JOIN id1 USING (root) WHERE known IS NULL),
+alone AS MATERIALIZED (
+  SELECT doc_id FROM spec WHERE doc_id NOT IN (SELECT doc_id FROM l0) AND doc_id NOT IN (SELECT doc_id FROM m1)),
+e2 AS MATERIALIZED (
+  SELECT x, y FROM sim WHERE x <> y AND x IN (SELECT doc_id FROM alone) AND y IN (SELECT doc_id FROM alone)),
+r2 AS (SELECT DISTINCT x, x AS y FROM e2 UNION SELECT r.x, e.y FROM r2 r JOIN e2 e ON r.y = e.x),
+top AS (SELECT greatest((SELECT top FROM base), coalesce((SELECT max(cluster_id) FROM id1), 0)) AS t),
+m2 AS (
+  SELECT doc_id, (SELECT t FROM top) + dense_rank() OVER (ORDER BY root) AS cluster_id
+  FROM (SELECT x AS doc_id, min(y) AS root FROM r2 GROUP BY x))
+SELECT a.cluster_id::BIGINT AS cluster_id, '/docs/documents.mzML' AS path, a.doc_id AS scan, s.mass AS precursor_mz,
+       (a.doc_id % 2)::BIGINT AS batch_id
+FROM (SELECT doc_id, cluster_id FROM l0 UNION ALL SELECT doc_id, cluster_id FROM m1 UNION ALL SELECT doc_id, cluster_id FROM m2) a
+JOIN spec s USING (doc_id)"""
+)
+
+
+@query(TWO_BATCHES_SQL)
 def two_batches(spark, sf):
     """Even documents, then odd ones, as two batches with both phases; the final scan list."""
     spectra = document_spectra(spark, sf)
@@ -182,7 +238,7 @@ def two_batches(spark, sf):
     return state.read("scan_list").select("cluster_id", "path", "scan", "precursor_mz", "batch_id")
 
 
-@query()
+@query(TWO_BATCHES_SQL)
 def streamed_batches(spark, sf):
     """The same from a landing folder, one micro-batch per file."""
     root = Scratch(spark).root

@@ -66,7 +66,7 @@ def known_spectra(state: State) -> DataFrame:
         .withColumn("scan", F.col("cluster_id"))
     )
     samples = samples_of_clusters(state.read("sample_list"), state.read("scan_list"))
-    stored = lookup(state.store(), samples).join(samples.select("path", "scan", "cluster_id"), ["path", "scan"])
+    stored = state.stored(samples).join(samples.select("path", "scan", "cluster_id"), ["path", "scan"])
     return _as_input(consensus, "consensus", "cluster_id").unionByName(_as_input(stored, "sample", "cluster_id"))
 
 
@@ -179,15 +179,15 @@ def consensus_export(state: State, size: int = 5) -> DataFrame:
     peaks = ["precursor_mz", "rt_sec", "charge", "mz", "intensity"]
     reps = state.current_consensus().select(native_id(F.col("cluster_id")).alias("native_id"), *peaks)
     samples = samples_of_clusters(state.read("sample_list"), state.read("scan_list"))
-    stored = state.store().select("path", "scan", *peaks)
     numbered = samples.where(F.col("sample_no") <= size).select("cluster_id", "sample_no", "path", "scan")
+    stored = state.stored(numbered).select("path", "scan", *peaks)
     named = sample_id(F.col("cluster_id"), F.col("sample_no"))
     return reps.unionByName(stored.join(numbered, ["path", "scan"]).select(native_id(named).alias("native_id"), *peaks))
 
 
 def missing_samples(state: State) -> DataFrame:
     """Sampled spectra that the store does not hold (expected to be none)."""
-    return state.read("sample_list").join(state.store().select("path", "scan"), ["path", "scan"], "left_anti")
+    return state.read("sample_list").join(state.read("store").select("path", "scan"), ["path", "scan"], "left_anti")
 
 
 def singleton_export(state: State) -> DataFrame:

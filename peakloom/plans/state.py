@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from peakloom import schemas
-from peakloom.operators.store import latest
+from peakloom.operators.store import latest, lookup
 from peakloom.session import exists, list_names, read_text, write_text
 
 CANDIDATES = T.StructType([T.StructField("kept_id", T.LongType()), T.StructField("other_id", T.LongType())])
@@ -64,6 +64,13 @@ class State:
         """The spectrum store with the last write of each (path, scan)."""
         return latest(self.read("store"), ["batch_id"])
 
+    def stored(self, wanted: DataFrame) -> DataFrame:
+        """Stored spectra of the wanted (path, scan), last writes only.
+
+        Unwanted rows go before the last write is chosen, so their peaks are not sorted.
+        """
+        return latest(lookup(self.read("store"), wanted), ["batch_id"])
+
     def write(self, table: str, batch_id: int, df: DataFrame) -> DataFrame:
         schema = APPENDED.get(table) or REPLACED[table]
         path = self.path(table, batch_id)
