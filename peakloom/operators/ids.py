@@ -23,9 +23,9 @@ def dense_index(df: DataFrame, keys: list[Column], name: str, scratch: Scratch,
     count per partition. Only those counts (at most one row per partition) are broadcast.
     """
     spark = df.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Without a fixed number, so that small neighbouring ranges may be read by one task, in order.
     placed = scratch.save(
-        df.repartitionByRange(partitions, *keys)
+        df.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .withColumn("_at", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_at", _ROW_BITS)),

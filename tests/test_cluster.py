@@ -136,6 +136,27 @@ def test_dense_index(spark, scratch):
     assert {r.k: r.id for r in got} == {n: n + 11 for n in range(101)}
 
 
+def test_dense_index_over_several_partitions(spark, scratch):
+    settings = {
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20kb",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1kb",
+    }
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        df = spark.range(20000).selectExpr("(id * 7919) % 20011 AS k").repartition(5)
+        got = dense_index(df, [F.col("k").desc()], "id", scratch)
+        rows = got.collect()
+        assert got.rdd.getNumPartitions() > 1
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
+    want = {k: n for n, k in enumerate(sorted((r.k for r in rows), reverse=True), 1)}
+    assert {r.k: r.id for r in rows} == want and len(rows) == 20000
+
+
 def greedy_cosine(a, b, tol):
     def unit(r):
         p = sorted((m, i) for m, i in zip(r["mz"], r["intensity"], strict=True))
