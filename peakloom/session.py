@@ -34,7 +34,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     Only a local session without that setting gets a folder of its own.
     """
     context = spark.sparkContext
-    root = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root:
         return root
     if not context.master.startswith("local"):
