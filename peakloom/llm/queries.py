@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peakloom.llm import bpe, decontaminate
+from peakloom.llm import bpe, decontaminate, neardup
 
 QUERIES = {}
 ORACLES = {}
@@ -85,3 +85,9 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query()
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
