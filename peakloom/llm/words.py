@@ -27,7 +27,7 @@ class Classes:
     value: np.ndarray
 
 
-def _classes(separators: bytes, keep_case: bool = False) -> Classes:
+def byte_classes(separators: bytes, keep_case: bool = False) -> Classes:
     member = np.ones(256, bool)
     member[list(separators)] = False
     lowered = bytes(range(256)) if keep_case else bytes(range(256)).lower()
@@ -35,9 +35,9 @@ def _classes(separators: bytes, keep_case: bool = False) -> Classes:
 
 
 #: Letters, digits and all characters outside ASCII.
-ALPHANUMERIC = _classes(bytes([*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]))
+ALPHANUMERIC = byte_classes(bytes([*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]))
 #: Everything but white space.
-SPACED = _classes(b" \t\n\v\f\r")
+SPACED = byte_classes(b" \t\n\v\f\r")
 
 
 def mix(x: np.ndarray) -> np.ndarray:
