@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peakloom.llm import bpe, decontaminate, neardup, quality
+from peakloom.llm import bpe, decontaminate, neardup, quality, sketch, surrogates
 
 QUERIES = {}
 ORACLES = {}
@@ -107,3 +107,28 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query()
+def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    paired = sketch.with_next(
+        docs, ["text", "own"], prepare=lambda df: sketch.with_sketch(df, F.col("text"), "own")
+    ).withColumn("edited_text", sketch.edited(F.col("text"), F.col("next_text")))
+    both = sketch.with_sketch(paired, F.col("edited_text"), "edited")
+    own, edited, following = F.col("own"), F.col("edited"), F.col("next_own")
+    return both.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"),
+        sketch.fingerprint(own).alias("fingerprint"),
+        sketch.fingerprint(edited).alias("edited_fingerprint"),
+        sketch.containment(own, edited).alias("near_edited"),
+        sketch.containment(own, following).alias("near_next"),
+    )
+
+
+@query()
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.pseudonymise(docs, key="corpus-1").select("doc_id", "text", "n_mentions")
