@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peakloom.llm import bpe, decontaminate, neardup, quality, sketch, surrogates
+from peakloom.llm import bpe, decontaminate, neardup, quality, sketch, surrogates, urlrules
 
 QUERIES = {}
 ORACLES = {}
@@ -132,3 +132,71 @@ def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return surrogates.pseudonymise(docs, key="corpus-1").select("doc_id", "text", "n_mentions")
+
+
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+_URL_RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+
+
+@query(f"""
+WITH rules(rh, rp, verdict) AS (VALUES {_URL_RULES_SQL}),
+parts AS (
+  SELECT page_id, coalesce(url, '') AS url,
+    CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) END AS rest
+  FROM pages
+),
+split AS (
+  SELECT page_id, url,
+    coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path
+  FROM parts
+),
+listed AS (
+  SELECT s.page_id, s.url, s.host, s.path, arg_max(rh || rp, length(rh || rp)) AS rule,
+    arg_max(r.verdict, length(rh || rp)) AS listed
+  FROM split s LEFT JOIN rules r ON (s.host = rh OR ends_with(s.host, '.' || rh)) AND starts_with(s.path, rp)
+  GROUP BY ALL
+),
+labels AS (SELECT *, list_reverse(string_split(host, '.')) AS l FROM listed),
+tokens AS (
+  SELECT page_id, host, path, rule, listed, CASE WHEN host = '' THEN [] ELSE list_sort(list_filter([
+    'host1=' || nullif(l[1], ''), 'host2=' || nullif(l[2], ''), 'host3=' || nullif(l[3], ''), 'host4=' || nullif(l[4], ''),
+    'dir=' || nullif(regexp_extract(path, '^/([^/]+)/', 1), ''),
+    'ending=' || nullif(regexp_extract(path, '\\.([A-Za-z0-9]{{1,5}})$', 1), ''),
+    'query=' || nullif(regexp_extract(url, '^[^?#]*[?]([^=&#]+)', 1), '')], lambda t: t IS NOT NULL)) END AS tokens
+  FROM labels
+),
+subsets AS (
+  SELECT page_id, listed, array_to_string(list_filter(tokens, lambda t, i: (m >> (i - 1)) & 1 = 1), ' ') AS name,
+    bit_count(m) AS size
+  FROM tokens, LATERAL (SELECT unnest(range(1, 1 << len(tokens))) AS m)
+),
+counted AS (
+  SELECT name, size, count(*) AS n, count(*) FILTER (WHERE listed = 'block') AS block,
+    count(*) FILTER (WHERE listed = 'allow') AS allow
+  FROM subsets WHERE listed IS NOT NULL GROUP BY name, size
+),
+mined AS (
+  SELECT name, size, v AS verdict, k::DOUBLE / n AS confidence, k AS support FROM (
+    SELECT name, size, n, 'block' AS v, block AS k FROM counted UNION ALL
+    SELECT name, size, n, 'allow' AS v, allow AS k FROM counted)
+  WHERE k >= ceil({urlrules.MIN_SUPPORT} * (SELECT count(*) FROM listed WHERE listed IS NOT NULL))
+    AND k::DOUBLE / n >= {urlrules.MIN_CONFIDENCE}
+),
+best AS (
+  SELECT page_id, arg_max(verdict, (confidence, support, m.size, name)) AS verdict
+  FROM subsets JOIN mined m USING (name) WHERE listed IS NULL GROUP BY page_id
+)
+SELECT page_id, host, path, rule, coalesce(listed, best.verdict, 'allow') AS verdict
+FROM tokens LEFT JOIN best USING (page_id)
+""")
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    judged = urlrules.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
