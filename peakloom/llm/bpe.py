@@ -30,8 +30,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-BLOCK_CHARS = 6 << 20
-KNOWN_PIECES = 400_000
+BLOCK_CHARS = 3 << 20
+KNOWN_PIECES = 250_000
 LATIN_END = 0x250
 
 
@@ -87,16 +87,16 @@ class Replay:
                 if left is not None and right is not None:
                     pairs[left * self.base + right] = rank
         self.keys = np.array(sorted(pairs), np.int64)
-        self.made = np.array([pairs[k] for k in self.keys.tolist()] + [-1], np.int64)
-        self.bytes = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
-        self.length = np.zeros(self.base, np.int64)
+        self.made = np.array([pairs[k] for k in self.keys.tolist()] + [-1], np.int32)
+        self.bytes = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
+        self.length = np.zeros(self.base, np.int32)
         for token, rank in ranks.items():
             self.length[rank] = len(token)
         self.bytes_made = self._made(np.repeat(self.bytes, 256), np.tile(self.bytes, 256))
 
     def _made(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of the token that two tokens make together, -1 for none."""
-        keys = left * self.base + right
+        keys = left.astype(np.int64) * self.base + right
         at = np.searchsorted(self.keys, keys)
         at[at == len(self.keys)] = 0
         return np.where(self.keys[at] == keys, self.made[at], -1) if len(self.keys) else np.full(len(keys), -1)
@@ -127,15 +127,15 @@ class Replay:
         """
         lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
         begin = np.concatenate([[0], np.cumsum(lengths + 1)])
-        text = np.frombuffer(b"\0".join(pieces) + b"\0\0", np.uint8).astype(np.int64)
+        text = np.frombuffer(b"\0".join(pieces) + b"\0\0", np.uint8).astype(np.int32)
         ids = self.bytes[text]
-        size = np.ones(len(text), np.int64)
+        size = np.ones(len(text), np.int32)
         size[begin[1:] - 1] = 0
         size[-1] = 0
-        start = np.arange(len(text))
+        start = np.arange(len(text), dtype=np.int32)
         length, made = self.length, self._made
         first = self.bytes_made[text[:-1] * 256 + text[1:]]
-        places = np.flatnonzero((first >= 0) & (size[:-1] > 0) & (size[1:] > 0))
+        places = np.flatnonzero((first >= 0) & (size[:-1] > 0) & (size[1:] > 0)).astype(np.int32)
         ranks = first[places]
         order = np.argsort(ranks, kind="stable")
         places, ranks = places[order], ranks[order]
@@ -284,7 +284,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: st
             column = batch.column(text)
             at = 0
             while at < len(column):
-                stop = min(at + 4096, len(column))
+                stop = min(at + 1024, len(column))
                 part = batch.slice(at, stop - at)
                 found = own.encode([t or "" for t in part.column(text).to_pylist()])
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.binary())], names=[*batch.schema.names, ids])
