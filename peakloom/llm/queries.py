@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peakloom.llm import bpe, chat, decontaminate, neardup, quality, sketch, surrogates, urlrules
+from peakloom.llm import bpe, chat, decontaminate, licences, neardup, quality, rollup, sketch, surrogates, urlrules
+from peakloom.session import Scratch
 
 QUERIES = {}
 ORACLES = {}
@@ -239,3 +240,105 @@ def op6_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
         "formatted_chars",
     )
+
+
+def _phrase_places_sql() -> str:
+    """Starts of every phrase, words counted from 0, and its label."""
+    parts = []
+    for phrase, label in licences.PHRASES.items():
+        n = len(phrase.split())
+        parts.append(
+            f"SELECT doc_id, '{label}' AS label, unnest(list_filter(range(0, len(w)), "
+            f"lambda i: array_to_string(w[i + 1:i + {n}], ' ') = '{phrase}')) AS i FROM joined WHERE contains(s, ' {phrase} ')"
+        )
+    return " UNION ALL ".join(parts)
+
+
+def _template_labels_sql() -> str:
+    parts = []
+    for label, text in licences.TEMPLATES.items():
+        pattern = licences.Automaton(text).pattern()
+        parts.append(f"SELECT doc_id, '{label}' AS label FROM joined WHERE regexp_matches(s, ' {pattern}')")
+    return " UNION ALL ".join(parts)
+
+
+@query(f"""
+WITH words AS (SELECT doc_id, coalesce({ALPHANUMERIC_SQL}, []) AS w FROM documents),
+joined AS (SELECT doc_id, w, ' ' || array_to_string(w, ' ') || ' ' AS s FROM words),
+places AS ({_phrase_places_sql()}),
+base AS (
+  SELECT doc_id, count(*) AS n, min(i) AS low, max(i) AS high, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM places GROUP BY doc_id
+),
+own AS ({_template_labels_sql()}),
+every AS (
+  SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM (SELECT doc_id, label FROM places UNION ALL FROM own) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, low::BIGINT AS first_word,
+  high::BIGINT AS last_word, coalesce(base.labels, '') AS base_labels, coalesce(every.labels, '') AS labels,
+  CASE WHEN doc_id IN (SELECT doc_id FROM own) THEN 1.0 WHEN n > 0 THEN 0.5 ELSE 0.0 END::DOUBLE AS score
+FROM words LEFT JOIN base USING (doc_id) LEFT JOIN every USING (doc_id)
+""")
+def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        "license.n_words",
+        "license.n_base",
+        "license.first_word",
+        "license.last_word",
+        F.array_join("license.base", ",").alias("base_labels"),
+        F.array_join("license.all", ",").alias("labels"),
+        "license.score",
+    )
+
+
+@query(r"""
+WITH counted AS (
+  SELECT doc_id, source, lang, text,
+    CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS BIGINT) AS words,
+    CAST(strlen(coalesce(text, '')) AS BIGINT) AS bytes,
+    array_to_string(list_filter(string_split(text, chr(10)),
+      lambda line, i: list_position(string_split(text, chr(10)), line) = i), chr(10)) AS once
+  FROM documents
+),
+kept AS (SELECT * FROM counted QUALIFY doc_id = min(doc_id) OVER (PARTITION BY text)),
+now AS (
+  SELECT source, lang, 'words-1' AS tokenizer,
+    CASE WHEN once <> text
+      THEN len(regexp_extract_all(once, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) ELSE words END AS tokens FROM kept
+  UNION ALL
+  SELECT source, lang, 'bytes-1', CASE WHEN once <> text THEN strlen(once) ELSE bytes END FROM kept
+)
+SELECT source, lang, tokenizer, count(*)::BIGINT AS n_docs, sum(tokens)::BIGINT AS n_tokens FROM now GROUP BY ALL
+""")
+def op5_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches: all documents; exact copies go; counts without repeated lines. The first is sent twice."""
+    scratch = Scratch(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    once = F.array_join(F.array_distinct(F.split("text", "\n")), "\n")
+    changed = F.coalesce(once != F.col("text"), F.lit(False))
+    counted = docs.withColumn("once", F.when(changed, once)).select(
+        "doc_id",
+        "source",
+        "lang",
+        F.md5(F.col("text").cast("binary")).alias("digest"),
+        rollup.word_count(F.col("text")).alias("words"),
+        rollup.byte_count(F.col("text")).alias("bytes"),
+        F.when(F.col("once").isNotNull(), rollup.word_count(F.col("once"))).alias("words_once"),
+        F.when(F.col("once").isNotNull(), rollup.byte_count(F.col("once"))).alias("bytes_once"),
+    )
+    counted = scratch.save(counted, "counted")
+    first = counted.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
+    copies = counted.join(first, [counted["digest"].eqNullSafe(first["digest"]), counted["doc_id"] == first["doc_id"]], "left_anti")
+    kept = counted.join(first.select("doc_id"), "doc_id", "left_semi")
+
+    store = rollup.TokenRollup(spark, f"{scratch.root}/rollup")
+    load = rollup.counts(counted, {"words-1": F.col("words"), "bytes-1": F.col("bytes")})
+    store.commit("load", load)
+    store.commit("copies", rollup.counts(copies, {"words-1": F.lit(0), "bytes-1": F.lit(0)}, change="delete"))
+    revised = kept.where(F.col("words_once").isNotNull())
+    store.commit("lines", rollup.counts(revised, {"words-1": F.col("words_once"), "bytes-1": F.col("bytes_once")}, change="revise"))
+    store.commit("load", load)
+    return store.totals()
