@@ -23,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -184,6 +184,11 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", usable=Non
     return fit([np.frombuffer(r.features, "<u4").astype(np.int64) for r in rows], [r.label == 1 for r in rows])
 
 
+def held_out(doc_id: Column) -> Column:
+    """Rows kept for testing: a third, by the CRC of the doc_id as text."""
+    return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
+
+
 def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     """``docs`` with a score from 0 to 1; higher means that label 1 is likelier."""
     shared = docs.sparkSession.sparkContext.broadcast(model)

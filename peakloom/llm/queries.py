@@ -94,17 +94,13 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
-def _held_out(doc_id):
-    return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
-
-
 @query()
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = quality.learn(docs, table(spark, sf_dir, "labels"), usable=~_held_out(F.col("doc_id")))
+    model = quality.learn(docs, table(spark, sf_dir, "labels"), usable=~quality.held_out(F.col("doc_id")))
     return quality.score(docs, model).select(
         "doc_id",
-        _held_out(F.col("doc_id")).alias("held_out"),
+        quality.held_out(F.col("doc_id")).alias("held_out"),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
