@@ -11,8 +11,9 @@ One automaton holds at most ``BLOCK_WORDS`` item words. More items make more aut
 them one after the other, so what is broadcast has a bound whatever the size of the benchmark. Rows never
 move: there is no shuffle, and a hot source or a hot passage costs no more than other rows.
 
-Defined cases: null and empty texts have no words and no hits; null or empty items have no window; items with
-equal windows are all reported; repeated rows are handled one by one; other columns pass through unchanged.
+Defined cases: null and empty texts have no words and no hits; null or empty items have no window; an item
+without an id goes by the empty name; items with equal windows are all reported; repeated rows are handled one by
+one; other columns pass through unchanged.
 """
 
 from __future__ import annotations
@@ -254,7 +255,7 @@ def _matchers(items: DataFrame, window: int) -> Iterator[Matcher]:
     part = max(window, BLOCK_WORDS // 2)
     words = word_list(F.col("text"))
     parts = (
-        items.select(F.col("item_id").cast("string").alias("item_id"), words.alias("words"))
+        items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), words.alias("words"))
         .where(F.size("words") > 0)
         .select(
             "item_id",

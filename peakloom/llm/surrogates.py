@@ -3,8 +3,8 @@
 Detected are e-mail addresses, phone numbers, IP addresses, payment card and account numbers, social security
 numbers, and names (a title or a common given name, then a capitalised surname). Only DataFrame functions are used.
 
-* Every mention has one or two identities, free of its spelling: lower case for an address, the last ten digits for
-  a phone number, given name and surname apart. All mentions of an identity get the same surrogate, written the way
+* Every mention has one or two identities, free of its spelling: lower case for an address, the last ten digits
+  after the country code for a phone number, given name and surname apart. All mentions of an identity get the same surrogate, written the way
   each mention is written (separators, country code, capitals, title).
 * A surrogate is drawn from a keyed SHA-256 of identity and attempt. It keeps lengths, digits, letters and capitals;
   an address goes to a reserved domain, an IP address to a reserved range, a valid card number stays valid, a given
@@ -109,7 +109,8 @@ def _identities(mention: Column) -> Column:
     given_id = F.concat_ws(":", F.lit("given"), _gender(given, title), script, F.lower(given))
     surname_id = F.concat_ws(":", F.lit("surname"), script, F.lower(surname))
     numbers = F.concat_ws(":", kind, _digits(mention))
-    phone = F.concat(F.lit("phone:"), F.regexp_extract(_digits(mention), "(\\d{1,10})$", 1))
+    national = _digits(F.regexp_replace(mention, "^\\+\\d{1,3}(?=[ .(-])", ""))
+    phone = F.concat(F.lit("phone:"), F.regexp_extract(national, "(\\d{1,10})$", 1))
     plain = F.concat_ws(":", kind, F.lower(mention))
     return (
         F.when((kind == "name") & (given != ""), F.array(given_id, surname_id))
