@@ -25,7 +25,7 @@ from peakloom.operators.sample import draw_samples, samples_of_clusters, scans_t
 from peakloom.operators.store import lookup
 from peakloom.operators.summary import cluster_info, cluster_summary
 from peakloom.params import ClusterParams
-from peakloom.plans.state import State
+from peakloom.plans.state import REJECTS, State
 from peakloom.session import Scratch, write_text
 from peakloom.sources.mzml_writer import write_mzml
 from peakloom.sources.tables import write_cluster_info, write_cluster_summary, write_tsv
@@ -77,6 +77,15 @@ def _scan_rows(members: DataFrame) -> DataFrame:
     )
 
 
+def _split(spectra: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame | None]:
+    """Good spectra, and the rejects if the reader has kept them (a column ``error``)."""
+    if "error" not in spectra.columns:
+        return spectra, None
+    parsed = scratch.save(spectra, "parsed")
+    rejects = parsed.where(F.col("error").isNotNull()).select("path", "index", "error")
+    return parsed.where(F.col("error").isNull()).drop("index", "error"), rejects
+
+
 def _once(spectra: DataFrame, batch_id: int, scratch: Scratch) -> DataFrame:
     """The batch as a written table with one row per (path, scan), the last of repeated ones.
 
@@ -104,7 +113,11 @@ def run_batch(
     """Process one batch and commit it; returns its commit record.
 
     A batch that is already committed is left as it is. ``spectra`` has the layout
-    ``schemas.SPECTRUM``; of a (path, scan) given twice the last counts.
+    ``schemas.SPECTRUM``; of a (path, scan) given twice the last counts. Rows with ``error``
+    become the batch's rejects, counted by kind in the commit record.
+
+    A spectrum that is sent again stays where it is if it is a member of a cluster; its peaks are
+    renewed in the store. If it is still a singleton, the new one takes its place.
     """
     params = params or ClusterParams()
     if state.committed(batch_id):
@@ -112,11 +125,28 @@ def run_batch(
     earlier = state.commits()
     if earlier and batch_id < earlier[-1]:
         raise ValueError(f"batch {batch_id} comes before the committed batch {earlier[-1]}")
-    timing, scratch = Timing(), Scratch(state.spark)
+    scratch = Scratch(state.spark)
+    try:
+        return _run(spectra, state, batch_id, params, chunk, earlier, scratch)
+    finally:
+        scratch.clear()
+
+
+def _run(
+    spectra: DataFrame, state: State, batch_id: int, params: ClusterParams, chunk: int, earlier: list[int], scratch: Scratch
+) -> dict:
+    timing = Timing()
+    spectra, rejects = _split(spectra, scratch)
     incoming = _once(spectra, batch_id, scratch)
+    key = ["path", "scan"]
     old_singles = state.read("singletons")
+    new = incoming
+    if earlier:
+        members_before = state.read("scan_list").select(*key)
+        new = scratch.save(incoming.join(members_before, key, "left_anti"), "new")
+        old_singles = scratch.save(old_singles.join(incoming.select(*key), key, "left_anti"), "waiting")
     base = state.max_cluster_id()
-    fresh = _as_input(incoming, "batch")
+    fresh = _as_input(new, "batch")
 
     if not earlier:
         with timing.step("cluster"):
@@ -131,8 +161,7 @@ def run_batch(
         with timing.step("phase 1 merge"):
             first = merge_clusters(one.assign, base, scratch, one.representatives, state.read("scan_list"))
             top = max(base, max_id(first.id_map))
-        waiting = first.singletons.select("path", "scan").unionAll(old_singles.select("path", "scan")).distinct()
-        second_input = incoming.unionByName(old_singles).join(waiting, ["path", "scan"], "left_semi")
+        second_input = new.join(first.singletons.select(*key), key, "left_semi").unionByName(old_singles)
         with timing.step("phase 2 cluster"):
             two = cluster_spectra(_as_input(second_input, "singleton"), params, scratch, chunk)
         with timing.step("phase 2 merge"):
@@ -155,14 +184,21 @@ def run_batch(
         singles = state.write(
             "singletons",
             batch_id,
-            incoming.unionByName(old_singles).join(left_over.select("path", "scan"), ["path", "scan"], "left_semi"),
+            new.unionByName(old_singles).join(left_over.select(*key), key, "left_semi"),
         )
         # The new samples may be members stored by earlier batches; only this batch's own are added.
         keep = scans_to_keep(scan_list, old_samples.unionByName(drawn), singles, batch_id, params.sample_size)
-        state.write("store", batch_id, lookup(incoming, keep))
+        stored = lookup(incoming, keep)
+        if earlier:  # a member that came again is stored anew where the store holds it
+            held = state.read("store").select(*key).join(incoming.select(*key), key, "left_semi")
+            stored = lookup(incoming, keep.unionAll(held).distinct())
+        state.write("store", batch_id, stored)
         state.write("merge_candidates", batch_id, candidates)
         top_id = max(base, max_id(consensus), max_id(added))
+    rejected = state.write("rejects", batch_id, state.spark.createDataFrame([], REJECTS) if rejects is None else rejects)
+    kinds = rejected.groupBy(F.substring_index("error", ":", 1).alias("kind")).agg(F.count("*").alias("n"))
     facts = {
+        "rejected": {r.kind: r.n for r in kinds.orderBy("kind").collect()},
         "max_cluster_id": int(top_id),
         "n_incoming": incoming.count(),
         "n_members": added.count(),
@@ -170,7 +206,6 @@ def run_batch(
         "seconds": timing.report(),
     }
     state.commit(batch_id, **facts)
-    scratch.clear()
     return state.meta(batch_id)
 
 

@@ -1,7 +1,7 @@
 """The durable cluster tables and their commit.
 
 Layout under one folder: ``<table>/batch=<id>`` for what a batch adds (scan_list, sample_list,
-store, merge_candidates), the same path for what a batch replaces (consensus, singletons), and
+store, merge_candidates, rejects), the same path for what a batch replaces (consensus, singletons), and
 ``_commits/<id>.json`` written last. Readers see only committed batches, so a run that died
 half-way leaves nothing behind that counts, and running it again overwrites its own folders.
 """
@@ -12,19 +12,22 @@ import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from peakloom import schemas
 from peakloom.operators.store import latest, lookup
 from peakloom.session import exists, list_names, read_text, write_text
 
+REJECTS = T.StructType(
+    [T.StructField("path", T.StringType()), T.StructField("index", T.LongType()), T.StructField("error", T.StringType())]
+)
 CANDIDATES = T.StructType([T.StructField("kept_id", T.LongType()), T.StructField("other_id", T.LongType())])
 APPENDED = {
     "scan_list": schemas.SCAN_LIST,
     "sample_list": schemas.SAMPLE_LIST,
     "store": schemas.STORE,
     "merge_candidates": CANDIDATES,
+    "rejects": REJECTS,
 }
 REPLACED = {"consensus": schemas.CONSENSUS, "singletons": schemas.STORE}
 
@@ -96,6 +99,3 @@ class State:
         return self.read("consensus").join(
             self.read("scan_list").select("cluster_id").distinct(), "cluster_id", "left_semi"
         )
-
-    def clusters(self) -> DataFrame:
-        return self.read("scan_list").groupBy("cluster_id").agg(F.count("*").alias("n_spectra"))

@@ -77,6 +77,12 @@ def _hadoop_path(spark: SparkSession, path: str):
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme of the file system it lies on."""
+    system, target = _hadoop_path(spark, path)
+    return system.makeQualified(target).toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     system, target = _hadoop_path(spark, path)
     return system.exists(target)

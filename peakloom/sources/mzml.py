@@ -3,11 +3,16 @@
 The file is read as text cut at ``</spectrum>``, so Spark splits large files by byte range and
 packs small ones, on any file system it knows. Spectra of other MS levels are dropped on the
 JVM before any Python; an Arrow kernel decodes the rest.
+
+A file of a kind this reader does not take (profile spectra, other compressions, other number
+types) is an error in every mode, as it would lose all its spectra. Single damaged spectra are
+handled by mode; a batch keeps them in a table of rejects.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Iterator
 from xml.etree import ElementTree
@@ -36,8 +41,19 @@ ZLIB = "MS:1000574"
 NO_COMPRESSION = "MS:1000576"
 
 PARSED = T.StructType(
-    [*[f for f in schemas.SPECTRUM.fields if f.name != "filename"], T.StructField("error", T.StringType())]
+    [
+        *[f for f in schemas.SPECTRUM.fields if f.name != "filename"],
+        T.StructField("index", T.LongType()),
+        T.StructField("error", T.StringType()),
+    ]
 )
+_TAG = re.compile(r"<spectrum[\s>]")
+
+
+class UnsupportedSpectrum(ValueError):
+    """Valid data of a kind that is not read; never left out silently."""
+
+
 _SHARED_GROUPS = "<referenceableParamGroup "
 
 
@@ -67,16 +83,25 @@ def _array(element: ElementTree.Element, terms: dict[str, dict]) -> np.ndarray:
     if ZLIB in terms:
         raw = zlib.decompress(raw) if raw else raw
     elif NO_COMPRESSION not in terms and raw:
-        raise ValueError("array compression is neither zlib nor none")
+        raise UnsupportedSpectrum("array compression is neither zlib nor none")
+    if FLOAT_64 not in terms and FLOAT_32 not in terms and raw:
+        raise UnsupportedSpectrum("array values are neither 32-bit nor 64-bit floats")
     return np.frombuffer(raw, dtype="<f8" if FLOAT_64 in terms else "<f4").astype(np.float64)
 
 
 def _scan_number(attrib: dict[str, str]) -> int:
-    """Number after ``scan=`` in the native id, else the last number of the id, else the index."""
+    """Number after ``scan=`` in the native id, else the last number of the id, else the index.
+
+    Ids of our own exports are read too: the cluster of ``scan=12_1`` (a sample of cluster 12) and
+    the scan of ``scan=/d/a.mzML_17`` (a singleton).
+    """
     text = attrib.get("id", "")
     for part in text.split():
         if part.startswith("scan=") and part[5:].isdigit():
             return int(part[5:])
+    exported = re.search(r"scan=(?:(\d+)_\d+|.*_(\d+))$", text)
+    if exported:
+        return int(exported[1] or exported[2])
     tail = text.rsplit("=", 1)[-1]
     return int(tail) if tail.isdigit() else int(attrib["index"]) + 1
 
@@ -89,7 +114,7 @@ def parse_spectrum(xml: str, groups: dict[str, dict]) -> dict | None:
     if level != 2:
         return None
     if PROFILE in terms:
-        raise ValueError("profile spectra are not supported: centroid them first")
+        raise UnsupportedSpectrum("profile spectra are not supported: centroid them first")
     selected = root.find("precursorList/precursor/selectedIonList/selectedIon")
     if selected is None:
         raise ValueError("no selected precursor ion")
@@ -122,11 +147,19 @@ def parse_spectrum(xml: str, groups: dict[str, dict]) -> dict | None:
     }
 
 
-def _read_header(path: str) -> str:
-    """Text of a file up to its first spectrum list; read only for files that share groups."""
+def file_system(path: str):
+    """(file system, path inside) of a qualified path, as Spark names it."""
     from pyarrow import fs
 
-    system, inner = fs.FileSystem.from_uri(path)
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return fs.FileSystem.from_uri(f"s3:{rest}" if scheme in ("s3a", "s3n") else path)
+
+
+def _read_header(path: str) -> str:
+    """Text of a file up to its first spectrum list; read only for files that share groups."""
+    system, inner = file_system(path)
     text = ""
     with system.open_input_stream(inner) as stream:
         while "<spectrumList" not in text and "</referenceableParamGroupList>" not in text:
@@ -143,16 +176,19 @@ def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows: list[dict] = []
         for path, chunk in zip(batch.column("path").to_pylist(), batch.column("value").to_pylist(), strict=True):
-            start = chunk.find("<spectrum ")
-            if start < 0:
+            found = _TAG.search(chunk)
+            if not found:
                 continue
-            xml = chunk[start:] + "</spectrum>"
+            xml = chunk[found.start() :] + "</spectrum>"
             if "<referenceableParamGroupRef" in xml and path not in cache:
                 cache[path] = param_groups(chunk if _SHARED_GROUPS in chunk else _read_header(path))
             try:
                 row = parse_spectrum(xml, cache.get(path, {}))
+            except UnsupportedSpectrum as problem:
+                raise UnsupportedSpectrum(f"{path}: {problem}") from problem
             except Exception as problem:  # one bad spectrum must not lose the others
-                row = {"error": f"{type(problem).__name__}: {problem}"}
+                number = re.search(r'\sindex="(\d+)"', xml[: xml.find(">")])
+                row = {"error": f"{type(problem).__name__}: {problem}", "index": int(number[1]) if number else None}
             if row is not None:
                 row["path"] = path
                 rows.append(row)
@@ -162,7 +198,7 @@ def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kind = {
                 "path": pa.string(), "scan": pa.int64(), "ms_level": pa.int32(), "precursor_mz": pa.float64(),
                 "rt_sec": pa.float64(), "charge": pa.int32(), "title": pa.string(), "mz": pa.list_(pa.float64()),
-                "intensity": pa.list_(pa.float64()), "error": pa.string(),
+                "intensity": pa.list_(pa.float64()), "index": pa.int64(), "error": pa.string(),
             }[name]
             columns.append(pa.array(values, kind))
         yield pa.RecordBatch.from_arrays(columns, names=names)
@@ -174,7 +210,7 @@ def _chunks(spark: SparkSession, paths: str | list[str], recursive: bool) -> Dat
 
 
 def _only_mzml(text: DataFrame) -> DataFrame:
-    """Files ending in .mzML other than the exported representatives."""
+    """Text of MS2 spectra of .mzML files other than ``consensus.mzML``."""
     tag = F.regexp_extract("value", r'<cvParam[^>]*"' + MS_LEVEL + r'"[^>]*>', 0)
     level = F.regexp_extract(tag, r'value="([^"]*)"', 1)
     return (
@@ -182,17 +218,17 @@ def _only_mzml(text: DataFrame) -> DataFrame:
         .where(basename(F.col("path")) != "consensus.mzML")
         # Without a level of its own the spectrum may get one from a shared group: Python decides.
         .where((tag == "") | (level == "2"))
-        .where(F.instr("value", "<spectrum ") > 0)
+        .where(F.col("value").rlike(r"<spectrum[\s>]"))
     )
 
 
 def parse_chunks(chunks: DataFrame, mode: str = "DROPMALFORMED") -> DataFrame:
     """Spectra of text chunks (path, value). ``FAILFAST`` stops at the first bad spectrum;
-    ``PERMISSIVE`` keeps bad ones as rows with ``error``; the default leaves them out."""
+    ``PERMISSIVE`` keeps bad ones as rows with ``index`` and ``error``; the default leaves them out."""
     parsed = chunks.mapInArrow(_decode, PARSED).withColumn("filename", basename(F.col("path")))
     columns = [f.name for f in schemas.SPECTRUM.fields]
     if mode == "PERMISSIVE":
-        return parsed.select(*columns, "error")
+        return parsed.select(*columns, "index", "error")
     if mode == "FAILFAST":
         failed = F.raise_error(F.concat(F.lit("unreadable spectrum in "), "path", F.lit(": "), "error"))
         checked = F.when(F.col("error").isNull(), F.col("path")).otherwise(failed.cast("string"))

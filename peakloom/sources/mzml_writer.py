@@ -18,6 +18,9 @@ import numpy as np
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
+from peakloom.session import qualified
+from peakloom.sources.mzml import file_system
+
 COLUMNS = ["native_id", "precursor_mz", "rt_sec", "charge", "mz", "intensity"]
 
 
@@ -72,12 +75,7 @@ class MzMLWriter(DataSourceWriter):
         self.attempt = f"_pending-{uuid.uuid4().hex}"
 
     def _system(self):
-        from pyarrow import fs
-
-        local = self.path.removeprefix("file:").replace("///", "/", 1)
-        if local.startswith("/") and not local.startswith("//"):
-            return fs.LocalFileSystem(), local
-        return fs.FileSystem.from_uri(self.path)
+        return file_system(self.path)
 
     def write(self, rows: Iterator) -> Written:
         from pyspark import TaskContext
@@ -142,6 +140,8 @@ def write_mzml(df, folder: str, prefix: str = "part", max_records: int = 5000) -
     """Export spectra (columns as in ``COLUMNS``) as mzML files in a folder."""
     spark: SparkSession = df.sparkSession
     spark.dataSource.register(MzMLDataSource)
+    # Resolved here, so that a path without a scheme means the session's file system on every machine.
+    folder = qualified(spark, folder)
     df.select(*COLUMNS).write.format("mzml").mode("overwrite").option("prefix", prefix).option(
         "maxRecords", str(max_records)
     ).save(folder)
