@@ -10,7 +10,7 @@ from peakloom.catalog import query
 from peakloom.catalog.inputs import EDGES_SQL, LABELS_SQL, PARAMS, SPECTRA_SQL, document_peaks, document_spectra, table
 from peakloom.functions.text import native_id
 from peakloom.operators.cluster import cluster_spectra, medoids, neighbour_pairs
-from peakloom.operators.network import merge_shards, network_pairs
+from peakloom.operators.network import merge_shards, network_pairs, prepare_network
 from peakloom.operators.summary import cluster_summary
 from peakloom.plans.incremental import run_batch
 from peakloom.plans.state import State
@@ -102,7 +102,8 @@ def network(spark, sf):
 def network_by_shards(spark, sf):
     params, scratch = replace(PARAMS, min_cosine=0.8, min_matched_peaks=6), Scratch(spark)
     peaks = scratch.save(document_peaks(spark, sf), "peaks")
-    shards = [network_pairs(peaks, params, scratch, (k, 3)) for k in range(3)]
+    prepared = prepare_network(peaks, params, scratch)
+    shards = [network_pairs(peaks, params, scratch, (k, 3), prepared=prepared) for k in range(3)]
     return merge_shards(*shards).withColumn("cosine", F.round("cosine", 6))
 
 

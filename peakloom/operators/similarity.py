@@ -23,9 +23,6 @@ from peakloom.session import Scratch
 # Feature counts are kept in this many slots at most, so what is collected and broadcast is
 # bounded whatever the data. Slots only shape the order of features, never the result.
 FREQUENCY_SLOTS = 1 << 20
-# Prefixes are cut where the remainder falls below this part of the threshold. Any value up to 1 is
-# exact; below 1 a chance meeting on one feature is not enough, so far fewer pairs are scored.
-DEPTH = 0.75
 # Rounding margin on similarity bounds; survivors are always scored exactly afterwards.
 MARGIN = 1e-9
 
@@ -43,27 +40,24 @@ def feature_counts(vectors: DataFrame) -> np.ndarray:
     return counts
 
 
-def prefixes(
-    vectors: DataFrame, threshold: float, counts: np.ndarray, carry: str | None = None
-) -> DataFrame:
+def prefixes(vectors: DataFrame, threshold: float, counts: np.ndarray) -> DataFrame:
     """Add ``prefix`` (features), ``prefix_weights`` and ``rest`` (length of the remainder).
 
-    Map-only; other columns pass through. ``carry`` names one more array that runs parallel to
-    bins and weights, of which the prefix part comes out as ``prefix_carry``.
+    Prefixes are as short as exactness allows, so vectors that share nothing but frequent features
+    never meet. Map-only; other columns pass through.
     """
     shared = vectors.sparkSession.sparkContext.broadcast(counts)
-    keep = [f for f in vectors.schema.fields if f.name not in ("bins", "weights", carry)]
+    keep = [f for f in vectors.schema.fields if f.name not in ("bins", "weights")]
     schema = T.StructType(
         [
             *keep,
             T.StructField("prefix", T.ArrayType(T.LongType())),
             T.StructField("prefix_weights", T.ArrayType(T.DoubleType())),
             T.StructField("rest", T.DoubleType()),
-            *([T.StructField("prefix_carry", T.ArrayType(T.DoubleType()))] if carry else []),
         ]
     )
     names = [f.name for f in keep]
-    slots, cut = FREQUENCY_SLOTS, threshold * DEPTH - MARGIN
+    slots, cut = FREQUENCY_SLOTS, threshold - MARGIN
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequency = shared.value
@@ -89,9 +83,6 @@ def prefixes(
                 list_column(weights[inside], rows[inside], count, pa.float64()),
                 pa.array(rest, pa.float64()),
             ]
-            if carry:
-                carried = list_parts(batch.column(carry))[0][order]
-                columns.append(list_column(carried[inside], rows[inside], count, pa.float64()))
             yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema.fields])
 
     return vectors.mapInArrow(kernel, schema)
