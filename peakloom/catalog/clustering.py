@@ -16,7 +16,7 @@ from peakloom.plans.incremental import run_batch
 from peakloom.plans.state import State
 from peakloom.session import Scratch
 from peakloom.sources.mgf import read_mgf
-from peakloom.sources.mzml import read_mzml
+from peakloom.sources.mzml import only_ms2, parse_chunks, read_mzml
 from peakloom.sources.mzml_writer import write_mzml
 from peakloom.streaming import landing
 
@@ -37,6 +37,32 @@ def dbscan_labels(spark, sf):
     return cluster_spectra(document_spectra(spark, sf), PARAMS, Scratch(spark)).assign.select("scan", "temp_cluster")
 
 
+@query(
+    "WITH RECURSIVE "
+    + EDGES_SQL
+    + """,
+sided AS MATERIALIZED (SELECT x, y, cosine FROM edges UNION ALL SELECT y, x, cosine FROM edges),
+core AS MATERIALIZED (SELECT x AS doc_id FROM sided GROUP BY x HAVING count(*) + 1 >= 4),
+inner_edges AS MATERIALIZED (
+  SELECT x, y FROM sided WHERE x IN (SELECT doc_id FROM core) AND y IN (SELECT doc_id FROM core)
+  UNION ALL SELECT doc_id, doc_id FROM core),
+reach AS (SELECT x, y FROM inner_edges UNION SELECT r.x, e.y FROM reach r JOIN inner_edges e ON r.y = e.x),
+core_root AS MATERIALIZED (SELECT x AS doc_id, min(y) AS root FROM reach GROUP BY x),
+every AS (
+  SELECT doc_id, root FROM core_root
+  UNION ALL
+  SELECT x, arg_min(root, (-round(cosine, 9), y)) FROM sided JOIN core_root ON y = doc_id
+  WHERE x NOT IN (SELECT doc_id FROM core) GROUP BY x),
+first AS (SELECT root, min(doc_id) AS f FROM every GROUP BY root),
+label AS (SELECT doc_id, dense_rank() OVER (ORDER BY f) - 1 AS temp_cluster FROM every JOIN first USING (root))
+SELECT s.doc_id AS scan, coalesce(temp_cluster, -1) AS temp_cluster FROM spec s LEFT JOIN label l USING (doc_id)"""
+)
+def dbscan_of_four(spark, sf):
+    """Core spectra have three neighbours or more."""
+    params = replace(PARAMS, min_samples=4)
+    return cluster_spectra(document_spectra(spark, sf), params, Scratch(spark)).assign.select("scan", "temp_cluster")
+
+
 MEDOID_SQL = """,
 sums AS (SELECT temp_cluster, bin, sum(w) AS s FROM vec JOIN label USING (doc_id) GROUP BY ALL),
 score AS (
@@ -172,6 +198,41 @@ def mzml_round_trip(spark, sf):
     return _totals(read_mzml(spark, folder), F.col("scan"))
 
 
+def _as_mzml_spectrum(kind):
+    """Spectra as mzML elements with empty arrays, one text row each; every third MS1, every fifth damaged."""
+    scan, mass = F.col("scan").cast("string"), F.col("precursor_mz").cast("string")
+    term = '<cvParam accession="MS:%d" value="'
+    head = F.concat(F.lit('<spectrum\tindex="'), scan, F.lit('" id="scan='), scan, F.lit('">'))
+    level = F.concat(F.lit(term % 1000511), F.when(kind == "ms1", "1").otherwise("2"), F.lit('"/>'))
+    around = ["precursorList", "precursor", "selectedIonList", "selectedIon"]
+    ion = F.concat(
+        F.lit("".join(f"<{t}>" for t in around) + term % 1000744), mass, F.lit('"/>' + "".join(f"</{t}>" for t in around[::-1]))
+    )
+    start = F.lit(f'<scanList><scan>{term % 1000016}1"/></scan></scanList>')
+    return F.concat(
+        head, level, F.when(kind == "no ion", "").otherwise(ion), F.when(kind == "no time", "").otherwise(start), F.lit("</spectrum>")
+    )
+
+
+@query(
+    """
+SELECT path_kind AS kind, count(*) AS n, coalesce(sum(precursor), 0)::DOUBLE AS total FROM (
+  SELECT CASE WHEN doc_id % 5 = 0 THEN 'no selected precursor ion' WHEN doc_id % 7 = 0 THEN 'no scan start time' ELSE 'read' END AS path_kind,
+         CASE WHEN doc_id % 5 > 0 AND doc_id % 7 > 0 THEN n_chars + 100 END AS precursor
+  FROM documents WHERE doc_id % 3 > 0) GROUP BY 1"""
+)
+def mzml_rejects(spark, sf):
+    """Files with MS1 and damaged spectra among good ones: what is read, and rejects by reason."""
+    folder = f"{Scratch(spark).root}/mzml"
+    spectra = document_spectra(spark, sf)
+    scan = F.col("scan")
+    kind = F.when(scan % 3 == 0, "ms1").when(scan % 5 == 0, "no ion").when(scan % 7 == 0, "no time").otherwise("good")
+    spectra.select(_as_mzml_spectrum(kind).alias("value")).write.text(folder)
+    chunks = spark.read.option("lineSep", "</spectrum>").text(folder).select(F.col("_metadata.file_path").alias("path"), "value")
+    rows = parse_chunks(only_ms2(chunks), "PERMISSIVE")
+    reason = F.coalesce(F.regexp_extract("error", "^ValueError: (.*)$", 1), F.lit("read")).alias("kind")
+    return rows.groupBy(reason).agg(F.count("*").alias("n"), F.coalesce(F.sum("precursor_mz"), F.lit(0.0)).alias("total"))
+
 
 # The same bookkeeping in SQL: l0 clusters the even documents; n1 holds the odd ones with the
 # representatives and samples of l0; what stays alone meets the even left-overs in the last step.
@@ -239,14 +300,34 @@ def two_batches(spark, sf):
     return state.read("scan_list").select("cluster_id", "path", "scan", "precursor_mz", "batch_id")
 
 
+RESENT_SQL = TWO_BATCHES_SQL.replace(
+    "FROM spec WHERE doc_id % 2 = 1",
+    "FROM spec WHERE doc_id % 2 = 1 OR (doc_id % 10 = 0 AND doc_id NOT IN (SELECT doc_id FROM l0))",
+).replace(
+    "(a.doc_id % 2)::BIGINT AS batch_id",
+    "CASE WHEN a.doc_id % 2 = 1 OR (a.doc_id % 10 = 0 AND a.doc_id NOT IN (SELECT doc_id FROM l0)) THEN 1 ELSE 0 END::BIGINT AS batch_id",
+)
+
+
+@query(RESENT_SQL)
+def resent_batches(spark, sf):
+    """The same when every tenth document comes in both batches: members stay, singletons are renewed."""
+    spectra = document_spectra(spark, sf)
+    state = State(spark, f"{Scratch(spark).root}/state")
+    run_batch(spectra.where(F.col("scan") % 2 == 0), state, 0, PARAMS)
+    run_batch(spectra.where((F.col("scan") % 2 == 1) | (F.col("scan") % 10 == 0)), state, 1, PARAMS)
+    return state.read("scan_list").select("cluster_id", "path", "scan", "precursor_mz", "batch_id")
+
+
 @query(TWO_BATCHES_SQL)
 def streamed_batches(spark, sf):
-    """The same from a landing folder, one micro-batch per file."""
-    root = Scratch(spark).root
+    """The same from a landing folder, a fixed number of files per micro-batch."""
+    root, files = Scratch(spark).root, 4
     spectra = document_spectra(spark, sf)
     for part in (0, 1):
-        spectra.where(F.col("scan") % 2 == part).coalesce(1).write.mode("append").parquet(f"{root}/landing")
-    stream = spark.readStream.schema(spectra.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landing")
+        dealt = spectra.where(F.col("scan") % 2 == part).repartitionByRange(files, F.xxhash64("scan"))
+        dealt.write.mode("append").parquet(f"{root}/landing")
+    stream = spark.readStream.schema(spectra.schema).option("maxFilesPerTrigger", files).parquet(f"{root}/landing")
     state = State(spark, f"{root}/state")
     landing.start(stream, state, PARAMS).awaitTermination()
     return state.read("scan_list").select("cluster_id", "path", "scan", "precursor_mz", "batch_id")

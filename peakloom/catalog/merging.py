@@ -85,8 +85,7 @@ SELECT temp_cluster + 1 AS cluster_id, path, scan FROM rws WHERE temp_cluster <>
 UNION ALL SELECT NULL, path, scan FROM rws WHERE temp_cluster = -1 AND source <> 'consensus'"""
 )
 def initial_merge(spark, sf):
-    rows = clustering_rows(spark, sf).where("source <> 'consensus'")
-    result = merge.initial_clusters(rows, Scratch(spark))
+    result = merge.initial_clusters(clustering_rows(spark, sf), Scratch(spark))
     singles = result.singletons.withColumn("cluster_id", F.lit(None).cast("bigint"))
     return result.members.select("cluster_id", "path", "scan").unionByName(singles.select("cluster_id", "path", "scan"))
 
@@ -99,8 +98,7 @@ SELECT (SELECT max(cluster_id) FROM m) + row_number() OVER (ORDER BY path, scan)
 FROM rws WHERE temp_cluster = -1 AND source <> 'consensus'"""
 )
 def initial_merge_with_singleton_clusters(spark, sf):
-    rows = clustering_rows(spark, sf).where("source <> 'consensus'")
-    result = merge.initial_clusters(rows, Scratch(spark), shift=0, singletons_as_clusters=True)
+    result = merge.initial_clusters(clustering_rows(spark, sf), Scratch(spark), shift=0, singletons_as_clusters=True)
     return result.members.select("cluster_id", "path", "scan")
 
 
@@ -125,7 +123,7 @@ def representative_overwrite(spark, sf):
     """
 WITH old AS (SELECT o_custkey AS cluster_id, min(o_orderkey) AS scan, min(o_totalprice) AS mass FROM orders GROUP BY o_custkey),
 fresh AS (SELECT c_custkey + e.d AS cluster_id, c_nationkey::BIGINT AS scan, c_acctbal AS mass, c_custkey AS seq
-          FROM customer, (VALUES (0), (100000)) e(d) WHERE c_custkey % 3 > 0),
+          FROM customer, (VALUES (0), (100000)) e(d)),
 again AS (SELECT cluster_id, scan, mass, seq FROM fresh UNION ALL SELECT cluster_id, scan + 1, mass + 1, seq + 1 FROM fresh)
 SELECT cluster_id, scan, mass FROM old UNION ALL
 SELECT cluster_id, arg_min(scan, seq), arg_min(mass, seq) FROM again
@@ -135,7 +133,7 @@ def append_distinct(spark, sf):
     old = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("cluster_id")).agg(
         F.min("o_orderkey").alias("scan"), F.min("o_totalprice").alias("mass")
     )
-    fresh = table(spark, sf, "customer").where("c_custkey % 3 > 0").select(
+    fresh = table(spark, sf, "customer").select(
         F.explode(F.array(F.col("c_custkey"), F.col("c_custkey") + 100000)).alias("cluster_id"),
         F.col("c_nationkey").cast("bigint").alias("scan"),
         F.col("c_acctbal").alias("mass"),

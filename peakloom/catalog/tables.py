@@ -8,7 +8,7 @@ from peakloom.catalog import query
 from peakloom.catalog.inputs import CONSENSUS_SQL, SCAN_LIST_SQL, consensus, scan_list, table
 from peakloom.operators import sample, store, summary
 from peakloom.operators.components import components
-from peakloom.operators.ids import dense_index, max_id
+from peakloom.operators.ids import dense_index, highest_id
 from peakloom.operators.rangejoin import tolerance_self_join
 from peakloom.params import Tolerance
 from peakloom.session import Scratch
@@ -81,8 +81,7 @@ def cluster_means(spark, sf):
 
 @query(SL + "SELECT coalesce(max(cluster_id), 0) AS max_cluster_id FROM scan_list")
 def max_cluster_id(spark, sf):
-    top = max_id(scan_list(spark, sf))
-    return scan_list(spark, sf).agg(F.lit(top).cast("bigint").alias("max_cluster_id"))
+    return scan_list(spark, sf).agg(highest_id().alias("max_cluster_id"))
 
 
 @query(
@@ -255,8 +254,7 @@ SELECT s.cluster_id, max(c.precursor_mz) AS precursor_mz, max(c.charge) AS charg
 FROM scan_list s LEFT JOIN consensus c ON s.cluster_id = c.cluster_id GROUP BY s.cluster_id"""
 )
 def consensus_of_clusters(spark, sf):
-    clusters = scan_list(spark, sf).groupBy("cluster_id").agg(F.count("*").alias("n_spectra"))
-    return clusters.join(consensus(spark, sf).drop("updated_batch"), "cluster_id", "left")
+    return summary.clusters_with_consensus(scan_list(spark, sf), consensus(spark, sf).drop("updated_batch"))
 
 
 @query(
@@ -265,8 +263,7 @@ def consensus_of_clusters(spark, sf):
 SELECT filename, count(*) AS n_scans, count(DISTINCT cluster_id) AS n_clusters FROM scan_list GROUP BY filename"""
 )
 def scans_per_file(spark, sf):
-    rows = scan_list(spark, sf)
-    return rows.groupBy("filename").agg(F.count("*").alias("n_scans"), F.countDistinct("cluster_id").alias("n_clusters"))
+    return summary.scans_per_file(scan_list(spark, sf))
 
 
 def _line_key():

@@ -1,6 +1,7 @@
 """Command line: cluster one folder of mzML files against a checkpoint.
 
-    spark-submit -m peakloom.cli --folder in/ --checkpoint_dir state/ --output_dir out/ --batch 0
+    python -m peakloom.cli --folder in/ --checkpoint_dir state/ --output_dir out/ --batch 0
+    spark-submit --py-files peakloom.zip peakloom/cli.py --folder in/ --checkpoint_dir state/ --output_dir out/
 """
 
 from __future__ import annotations
@@ -33,7 +34,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--do_networking", choices=["Yes", "No"], default="Yes")
     p.add_argument("--min_cosine", type=float, default=base.min_cosine)
     p.add_argument("--min_matched_peaks", type=int, default=base.min_matched_peaks)
-    p.add_argument("--mode", choices=["DROPMALFORMED", "FAILFAST"], default="DROPMALFORMED")
+    p.add_argument("--mode", choices=["PERMISSIVE", "DROPMALFORMED", "FAILFAST"], default="PERMISSIVE")
+    p.add_argument("--sample_size", type=int, default=base.sample_size)
+    p.add_argument("--sample_seed", default=base.sample_seed)
+    p.add_argument("--min_samples", type=int, default=base.min_samples)
     return p
 
 
@@ -50,6 +54,9 @@ def main(argv: list[str] | None = None) -> dict:
         do_networking=args.do_networking == "Yes",
         min_cosine=args.min_cosine,
         min_matched_peaks=args.min_matched_peaks,
+        sample_size=args.sample_size,
+        sample_seed=args.sample_seed,
+        min_samples=args.min_samples,
     )
     spark = build_session("peakloom")
     state = State(spark, args.checkpoint_dir.rstrip("/"))

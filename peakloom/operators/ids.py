@@ -11,9 +11,14 @@ from peakloom.session import Scratch
 _ROW_BITS = 33
 
 
+def highest_id(column: str = "cluster_id") -> Column:
+    """Aggregate: the largest id, 0 for an empty table."""
+    return F.coalesce(F.max(column), F.lit(0)).cast("bigint")
+
+
 def max_id(df: DataFrame, column: str = "cluster_id") -> int:
-    """Largest id, 0 for an empty table. Reads one column."""
-    return df.agg(F.coalesce(F.max(column), F.lit(0)).cast("bigint")).first()[0]
+    """The largest id as a number. Reads one column."""
+    return df.agg(highest_id(column)).first()[0]
 
 
 def dense_index(df: DataFrame, keys: list[Column], name: str, scratch: Scratch, base: int = 0) -> DataFrame:

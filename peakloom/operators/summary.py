@@ -112,3 +112,16 @@ def nested(scan_list: DataFrame, page_size: int = 1000) -> DataFrame:
 def flattened(clusters: DataFrame) -> DataFrame:
     """Inverse of ``nested``."""
     return clusters.select("cluster_id", F.explode("scan_list").alias("m")).select("cluster_id", "m.*")
+
+
+def clusters_with_consensus(scan_list: DataFrame, consensus: DataFrame) -> DataFrame:
+    """Every cluster of the scan list with its size and its representative's columns, if it has one."""
+    sizes = scan_list.groupBy("cluster_id").agg(F.count("*").alias("n_spectra"))
+    return sizes.join(consensus, "cluster_id", "left")
+
+
+def scans_per_file(scan_list: DataFrame) -> DataFrame:
+    """Scans and distinct clusters of each file."""
+    return scan_list.groupBy("filename").agg(
+        F.count("*").alias("n_scans"), F.countDistinct("cluster_id").alias("n_clusters")
+    )

@@ -52,13 +52,13 @@ class ClusterParams:
     min_mz: float = 0.0
     max_mz: float = 30000.0
     eps: float = 0.1
+    min_samples: int = 2
     hash_len: int | None = None
     sample_size: int = 5
     sample_seed: str = "0"
     do_networking: bool = True
     min_cosine: float = 0.7
     min_matched_peaks: int | None = None
-    parallelism: int = 100
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "precursor_tol", Tolerance.parse(self.precursor_tol))
@@ -66,6 +66,8 @@ class ClusterParams:
             raise ValueError("fragment_tol must be positive")
         if not 0 < self.eps < 1:
             raise ValueError("eps is a cosine distance and must lie between 0 and 1")
+        if self.min_samples < 2:
+            raise ValueError("min_samples counts the spectrum itself and must be 2 or more")
         if not 0 < self.min_cosine <= 1:
             raise ValueError("min_cosine must lie between 0 and 1")
 

@@ -211,11 +211,15 @@ def _chunks(spark: SparkSession, paths: str | list[str], recursive: bool) -> Dat
 
 def _only_mzml(text: DataFrame) -> DataFrame:
     """Text of MS2 spectra of .mzML files other than ``consensus.mzML``."""
+    return only_ms2(text.select(F.col("_metadata.file_path").alias("path"), "value"))
+
+
+def only_ms2(chunks: DataFrame) -> DataFrame:
+    """Chunks (path, value) that may hold an MS2 spectrum, decided on the JVM."""
     tag = F.regexp_extract("value", r'<cvParam[^>]*"' + MS_LEVEL + r'"[^>]*>', 0)
     level = F.regexp_extract(tag, r'value="([^"]*)"', 1)
     return (
-        text.select(F.col("_metadata.file_path").alias("path"), "value")
-        .where(basename(F.col("path")) != "consensus.mzML")
+        chunks.where(basename(F.col("path")) != "consensus.mzML")
         # Without a level of its own the spectrum may get one from a shared group: Python decides.
         .where((tag == "") | (level == "2"))
         .where(F.col("value").rlike(r"<spectrum[\s>]"))

@@ -54,7 +54,10 @@ class Model:
         return [k for k, v in labels.items() if v < 0 and k not in known]
 
     def batch(self, rows):
-        rows = {(r["path"], r["scan"]): r for r in rows}
+        sent = {(r["path"], r["scan"]): r for r in rows}
+        placed = {k for keys in self.members.values() for k in keys}
+        rows = {k: r for k, r in sent.items() if k not in placed}
+        self.singles = {k: r for k, r in self.singles.items() if k not in sent}
         if not self.members and not self.singles:
             labels, reps = self._cluster(rows)
             left = self._merge(labels, reps, {})
@@ -72,7 +75,7 @@ class Model:
             pool = {**{k: rows[k] for k in left}, **self.singles}
             labels, reps = self._cluster(pool)
             left = self._merge(labels, reps, {})
-        self.stored.update(rows)
+        self.stored.update(sent)
         self.singles = {k: pool[k] for k in left}
         for cid, keys in self.members.items():
             if len(keys) > 5 and cid not in self.samples:
@@ -210,3 +213,39 @@ def test_repeated_scan_counts_once(spark, tmp_path):
     facts = incremental.run_batch(spectra_frame(spark, [*rows, dict(rows[0], precursor_mz=1.0)]).coalesce(1), state, 0, PARAMS)
     assert facts["n_incoming"] == 3
     assert state.read("singletons").where(F.col("scan") == 1).first().precursor_mz == 1.0
+
+
+def test_spectra_sent_again_stay_in_one_place(spark, tmp_path):
+    """Singletons, members and samples come again, changed or not, over four batches."""
+    rng = np.random.default_rng(33)
+    families = family_rows(rng, 8)
+    first = draw(rng, families, [0, 0, 0, 0, 0, 0, 1, 1, 2, 4], "/one/a.mzML")
+    other = draw(rng, families, [2, 4, 5, 5, 6], "/two/a.mzML")
+    moved = dict(first[8], mz=families[6][0], intensity=families[6][1], precursor_mz=float(families[6][2]), charge=1 + 6 % 3)
+    batches = [first, [first[9], first[8], first[0], first[6], *other[:1]], [*first[:3], moved, *other], [*first, *other]]
+    state, model = State(spark, "file://" + str(tmp_path)), Model()
+    for batch_id, rows in enumerate(batches):
+        incremental.run_batch(spectra_frame(spark, rows), state, batch_id, PARAMS)
+        model.batch(rows)
+        members = [(r.path, r.scan) for r in state.read("scan_list").collect()]
+        singles = [(r.path, r.scan) for r in state.read("singletons").collect()]
+        places = members + singles
+        assert len(places) == len(set(places))
+        got = {}
+        for r in state.read("scan_list").collect():
+            got.setdefault(r.cluster_id, set()).add((r.path, r.scan))
+        assert got == {c: set(keys) for c, keys in model.members.items()}
+        assert set(singles) == set(model.singles)
+
+
+def test_rejects_of_a_batch(spark, tmp_path):
+    from helpers import mzml_text
+
+    good = [dict(scan=n, mass=400.0, charge=1, rt=1.0, mz=[100.0, 200.0], intensity=[1.0, 2.0]) for n in (1, 2)]
+    bad = dict(scan=3, mass=1.0, rt=1.0, mz=[1], intensity=[1], no_ion=True)
+    (tmp_path / "a.mzML").write_text(mzml_text([*good, bad]))
+    state = State(spark, "file://" + str(tmp_path / "state"))
+    facts = incremental.run_batch(read_mzml(spark, str(tmp_path), "PERMISSIVE"), state, 0, PARAMS)
+    assert (facts["n_incoming"], facts["rejected"]) == (2, {"ValueError": 1})
+    row = state.read("rejects").head()
+    assert row.path.endswith("/a.mzML") and row["index"] == 2 and "no selected precursor ion" in row.error

@@ -169,3 +169,33 @@ def test_legacy_store(spark, tmp_path):
     got = legacy.stored_or_consensus(wanted, store, consensus)
     assert {(r.scan, r.precursor_mz) for r in got.collect()} == {(3, 403.0), (8, 1.5)}
     assert json.loads(json.dumps(got.select(F.count("*")).first()[0])) == 2
+
+
+@pytest.mark.parametrize("change,message", [
+    (('name="b"', 'name="b"', '</scanList>', '</scanList><cvParam accession="MS:1000128" name="profile spectrum"/>'), "profile"),
+    (("MS:1000574", "MS:1002312", "", ""), "compression"),
+    (("MS:1000523", "MS:1000522", "", ""), "floats"),
+])
+def test_mzml_of_a_kind_not_read_fails_in_every_mode(spark, tmp_path, change, message):
+    text = mzml_text(SPECTRA[1:])
+    for old, new in zip(change[::2], change[1::2], strict=True):
+        text = text.replace(old, new) if old else text
+    (tmp_path / "a.mzML").write_text(text)
+    for mode in ("DROPMALFORMED", "PERMISSIVE", "FAILFAST"):
+        with pytest.raises(Exception, match=message):
+            read_mzml(spark, str(tmp_path), mode).collect()
+
+
+@pytest.mark.parametrize("gap", ["\n", "\t", " \r\n  "])
+def test_mzml_tag_may_be_followed_by_any_white_space(spark, tmp_path, gap):
+    (tmp_path / "a.mzML").write_text(mzml_text(SPECTRA).replace("<spectrum ", f"<spectrum{gap}"))
+    assert sorted(r.scan for r in read_mzml(spark, str(tmp_path)).collect()) == [2, 3, 7]
+
+
+def test_ids_of_exports_are_read_back(spark, tmp_path):
+    ids = ["scan=12", "scan=12_1", "scan=/d/a.mzML_17", "index=4"]
+    rows = [(i, 400.0, 1.0, 1, [100.0], [1.0]) for i in ids]
+    df = spark.createDataFrame(rows, "native_id string, precursor_mz double, rt_sec double, charge int, mz array<double>, intensity array<double>")
+    write_mzml(df, str(tmp_path / "out"))
+    got = {r.title: r.scan for r in read_mzml(spark, str(tmp_path / "out")).collect()}
+    assert got == dict(zip(ids, [12, 12, 17, 4], strict=True))
