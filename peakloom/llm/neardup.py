@@ -4,13 +4,15 @@ A document's set holds its distinct shingles of ``k`` words, as 64-bit hashes. `
 functions give a signature of minima; documents that agree in all rows of a band meet in a bucket.
 
 * Equal sets are one class from the start, however many rows share them.
-* In each bucket, every class is compared with two hubs: the smallest id, then one drawn by hash. Both rounds are
-  linear. Classes that are linked already need no further comparison.
-* What is left are buckets whose classes still lie in different components. There, classes outside the hub's
-  component are compared with all others, so no link between components is lost.
-* A pair is first estimated on the signatures (one byte a function). The bound lies 4.5 standard deviations below
-  the threshold. Survivors are confirmed on the full sets, computed again for the classes concerned.
-* Links go to components by alternating large-star and small-star; later rounds run on the roots only.
+* In each bucket, every class is compared with the bucket's hub, its smallest id, which is linear. Classes of one
+  hub make a group, whatever their buckets.
+* What is left are groups whose classes lie in different components. There, classes outside the hub's component are
+  compared with all others. Small groups list their pairs. Larger ones are dealt to pairs of blocks of bounded
+  size; a task counts all intersections of its two blocks as a product of indicator matrices and returns only
+  links that join components, so rows stay linear in the blocks.
+* Listed pairs are first estimated on the signatures (one byte a function). The bound lies 4.5 standard deviations
+  below the threshold. Survivors are confirmed on the full sets, computed again for the classes concerned.
+* Links go to components by alternating large-star and small-star; the second round runs on the roots only.
 
 A pair at a similarity of 0.85 misses all bands with a chance of 4e-7 (0.80: 6e-5), and chains of links make a
 lost one seldom matter. Hub pairs are split over tasks by their count. All intermediate tables are written under
@@ -39,6 +41,9 @@ from peakloom.session import Scratch
 BANDS, ROWS = 25, 5
 FUNCTIONS = BANDS * ROWS
 HUB_PART = 2_000  # pairs of one hub that go to one task
+SMALL_GROUP = 12  # classes of a group whose pairs are listed
+BLOCK_CLASSES, BLOCK_SHINGLES = 800, 1_000_000
+COLUMNS = 4096  # shingles of one matrix product
 _draw = np.random.default_rng(7)
 FACTORS = _draw.integers(0, 1 << 32, FUNCTIONS, dtype=np.uint32) | np.uint32(1)
 TERMS = _draw.integers(0, 1 << 32, FUNCTIONS, dtype=np.uint32)
@@ -147,14 +152,32 @@ class _Links:
 
         return joined.mapInArrow(run, pairs.schema)
 
+    def _sets_of(self, nodes: DataFrame) -> DataFrame:
+        """(node, shingles) of the given classes, from the whole text of the document they are named after."""
+        wanted = self.scratch.save(nodes.distinct(), "wanted")
+        texts = self.docs.select(F.col("doc_id").alias("node"), "text").join(wanted, "node")
+        sets = _sets(texts, self.k, self.classes).join(self.nodes.select("node", "digest"), ["node", "digest"])
+        return self.scratch.save(sets.select("node", "shingles"), "sets")
+
+    def in_blocks(self, groups: DataFrame) -> DataFrame:
+        """Links (left, right) that join components of large groups."""
+        dealt = _dealt(groups, self.scratch)
+        sets = self._sets_of(groups.where(F.col("size") > SMALL_GROUP).select("node"))
+        percent = self.percent
+        kind = groups.schema["node"].dataType.simpleString()
+        arrow = pa.schema([("left", pa.int64()), ("right", pa.int64())])
+
+        def run(table: pa.Table) -> pa.Table:
+            return pa.table(list(_block_links(table, percent)), schema=arrow)
+
+        found = dealt.join(sets, "node").groupBy("hub", "first", "kind", "second").applyInArrow(run, "left bigint, right bigint")
+        found = found.select(F.col("left").cast(kind).alias("left"), F.col("right").cast(kind).alias("right"))
+        return self.scratch.save(found, "links")
+
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """Links (left, right) among the pairs (node, hub); hubs may stand in any number of pairs."""
         likely = self.scratch.save(self._likely(pairs), "likely")
-        wanted = likely.select("node").unionAll(likely.select(F.col("hub").alias("node"))).distinct()
-        wanted = self.scratch.save(wanted, "wanted")
-        texts = self.docs.select(F.col("doc_id").alias("node"), "text").join(wanted, "node")
-        sets = _sets(texts, self.k, self.classes).join(self.nodes.select("node", "digest"), ["node", "digest"])
-        sets = self.scratch.save(sets.select("node", "shingles"), "sets")
+        sets = self._sets_of(likely.select("node").unionAll(likely.select(F.col("hub").alias("node"))))
         parts = likely.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / HUB_PART).alias("parts"))
         parts = self.scratch.save(parts, "parts")
         many = parts.where(F.col("parts") > 1)
@@ -183,13 +206,6 @@ def _joined(labels: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.save(moved, "labels")
 
 
-def _between(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs (node, hub) whose ends lie in different components."""
-    hub = labels.select(F.col("node").alias("hub"), F.col("label").alias("hub_label"))
-    apart = pairs.join(labels, "node").join(hub, "hub").where(F.col("label") != F.col("hub_label"))
-    return apart.select("node", "hub")
-
-
 def near_duplicates(
     docs: DataFrame, k: int = 5, percent: int = 80, classes: Classes = SPACED, scratch: Scratch | None = None
 ) -> DataFrame:
@@ -206,20 +222,20 @@ def near_duplicates(
         rows_of.groupBy("digest").agg(F.min("doc_id").alias("node"), F.max("copies").alias("copies")), "classes"
     )
     nodes = filled.withColumnRenamed("doc_id", "node").join(classes_table.select("node", "digest"), ["node", "digest"])
-    nodes = scratch.save(nodes.select("node", "digest", "signature", "bands"), "nodes")
+    nodes = scratch.save(nodes.select("node", "digest", "n_shingles", "signature", "bands"), "nodes")
     met = nodes.select("node", F.explode("bands").alias("bucket"))
-    drawn = F.min(F.struct(F.xxhash64("node", "bucket"), F.col("node")))["node"]
-    hubs = met.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last"), drawn.alias("drawn"))
+    hubs = met.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
     hubs = scratch.save(hubs.where(F.col("hub") < F.col("last")).drop("last"), "hubs")
-    members = scratch.save(met.join(hubs, "bucket").select("bucket", "node", "hub", "drawn"), "members")
+    members = scratch.save(met.join(hubs, "bucket").select("node", "hub").distinct(), "members")
     links = _Links(docs, nodes, k, percent, classes, scratch)
 
     labels = scratch.save(members.select("node").distinct().select("node", F.col("node").alias("label")), "labels")
-    first = members.where(F.col("node") != F.col("hub")).select("node", "hub").distinct()
-    labels = _joined(labels, links.confirmed(first), scratch)
-    second = members.select("node", F.col("drawn").alias("hub")).where(F.col("node") != F.col("hub")).distinct()
-    labels = _joined(labels, links.confirmed(_between(second, labels)), scratch)
-    labels = _joined(labels, links.confirmed(_rest(members, nodes, labels, links.agreeing, scratch)), scratch)
+    labels = _joined(labels, links.confirmed(members.where(F.col("node") != F.col("hub"))), scratch)
+    groups = _groups(members, labels, nodes, scratch)
+    listed = links.confirmed(_pairs(groups))
+    if not groups.where(F.col("size") > SMALL_GROUP).isEmpty():
+        listed = listed.unionAll(links.in_blocks(groups))
+    labels = _joined(labels, listed, scratch)
 
     roots = labels.select("node", F.col("label").alias("root"))
     root_of = classes_table.join(roots, "node", "left")
@@ -235,33 +251,116 @@ def near_duplicates(
     )
 
 
-def _rest(members: DataFrame, nodes: DataFrame, labels: DataFrame, agreeing: int, scratch: Scratch) -> DataFrame:
-    """Likely pairs of a bucket that neither hub has joined: classes apart from the hub against all others."""
-    labelled = members.select("bucket", "node", "hub").join(labels, "node")
-    split = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    split = scratch.save(split.where(F.col("low") < F.col("high")), "split")
-    full = labelled.join(split, "bucket").join(nodes.select("node", "signature"), "node")
-    full = scratch.save(full.select("bucket", "node", "hub", "label", "low", "signature"), "apart")
-    # the component of the smallest label stays; in most buckets it is the largest one
-    one = full.where(F.col("label") != F.col("low")).alias("one")
-    two = full.alias("two")
-    apart = (F.col("one.label") != F.col("two.label")) & (
-        (F.col("two.label") == F.col("two.low")) | (F.col("one.node") < F.col("two.node"))
-    )
-    pairs = one.join(two, (F.col("one.bucket") == F.col("two.bucket")) & apart).select(
-        F.col("one.node").alias("node"),
-        F.col("two.node").alias("hub"),
-        F.col("one.signature").alias("signature"),
-        F.col("two.signature").alias("hub_signature"),
+def _groups(members: DataFrame, labels: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(hub, node, label, apart, size): groups of more than one component; ``apart`` from that of the hub."""
+    labelled = members.join(labels, "node").join(nodes.select("node", "n_shingles"), "node")
+    of_hub = F.min(F.when(F.col("node") == F.col("hub"), F.col("label")))
+    total = labelled.groupBy("hub").agg(
+        of_hub.alias("hub_label"),
+        F.min("label").alias("low"),
+        F.max("label").alias("high"),
+        F.count(F.lit(1)).alias("size"),
     )
-    kind = nodes.schema["node"].dataType.simpleString()
+    total = scratch.save(total.where((F.col("low") < F.col("high")) & (F.col("size") > 2)).drop("low", "high"), "groups")
+    apart = (F.col("label") != F.col("hub_label")).alias("apart")
+    return scratch.save(labelled.join(total, "hub").select("hub", "node", "n_shingles", "label", apart, "size"), "apart")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield _agreeing(batch, agreeing)
 
-    return pairs.mapInArrow(run, f"node {kind}, hub {kind}").distinct()
+def _pairs(groups: DataFrame) -> DataFrame:
+    """Pairs (node, hub) of different components in small groups; those with the hub itself are known already."""
+    small = groups.where((F.col("size") <= SMALL_GROUP) & (F.col("node") != F.col("hub")))
+    one, two = small.where("apart").alias("one"), small.alias("two")
+    met = (F.col("one.hub") == F.col("two.hub")) & (F.col("one.label") != F.col("two.label"))
+    once = ~F.col("two.apart") | (F.col("one.node") < F.col("two.node"))
+    return one.join(two, met & once).select(F.col("one.node").alias("node"), F.col("two.node").alias("hub")).distinct()
+
+
+def _dealt(groups: DataFrame, scratch: Scratch) -> DataFrame:
+    """Classes of large groups with every pair of blocks (hub, first, kind, second) they take part in.
+
+    Blocks of classes apart from the hub meet each other and all blocks of the hub's component.
+    """
+    large = groups.where(F.col("size") > SMALL_GROUP)
+    count, volume = F.count(F.lit(1)), F.sum("n_shingles")
+    blocks = F.ceil(F.greatest(count / BLOCK_CLASSES, volume / BLOCK_SHINGLES))
+    sizes = large.groupBy("hub", "apart").agg(blocks.alias("blocks")).groupBy("hub")
+    sizes = sizes.agg(
+        F.coalesce(F.max(F.when(F.col("apart"), F.col("blocks"))), F.lit(0)).alias("outer"),
+        F.coalesce(F.max(F.when(~F.col("apart"), F.col("blocks"))), F.lit(0)).alias("inner"),
+    )
+    sizes = scratch.save(sizes, "blocks")
+    own = F.pmod(F.xxhash64("node", F.lit("block")), F.when(F.col("apart"), F.col("outer")).otherwise(F.col("inner")))
+    placed = large.join(sizes, "hub").withColumn("block", own)
+
+    def up_to(n):
+        return F.when(n > 0, F.sequence(F.lit(0).cast("bigint"), n - 1)).otherwise(F.array().cast("array<bigint>"))
+
+    def meeting(first, kind, second):
+        return F.struct(first.alias("first"), F.lit(kind).alias("kind"), second.alias("second"))
+
+    block = F.col("block")
+    with_outer = F.transform(up_to(F.col("outer")), lambda j: meeting(F.least(block, j), "outer", F.greatest(block, j)))
+    with_inner = F.transform(up_to(F.col("inner")), lambda j: meeting(block, "inner", j))
+    from_inner = F.transform(up_to(F.col("outer")), lambda i: meeting(i, "inner", block))
+    meetings = F.when(F.col("apart"), F.concat(with_outer, with_inner)).otherwise(from_inner)
+    dealt = placed.select("hub", "node", "label", "apart", "block", F.explode(meetings).alias("m"))
+    return dealt.select("hub", "m.first", "m.kind", "m.second", "node", "label", "apart", "block")
+
+
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of two lists of sets."""
+    columns = np.intersect1d(np.unique(np.concatenate(left)), np.unique(np.concatenate(right)))
+    places = []
+    for sets in (left, right):
+        values = np.concatenate(sets)
+        rows = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        at = np.minimum(np.searchsorted(columns, values), max(len(columns) - 1, 0))
+        there = columns[at] == values if len(columns) else np.zeros(len(values), bool)
+        at, rows = at[there], rows[there]
+        order = np.argsort(at, kind="stable")
+        places.append((at[order], rows[order]))
+    total = np.zeros((len(left), len(right)), np.float32)
+    for start in range(0, len(columns), COLUMNS):
+        dense = []
+        for (at, rows), sets in zip(places, (left, right), strict=True):
+            low, high = np.searchsorted(at, [start, start + COLUMNS])
+            part = np.zeros((len(sets), min(COLUMNS, len(columns) - start)), np.float32)
+            part[rows[low:high], at[low:high] - start] = 1
+            dense.append(part)
+        total += dense[0] @ dense[1].T
+    return total.astype(np.int64)
+
+
+def _block_links(table: pa.Table, percent: int) -> tuple[list, list]:
+    """Links between two blocks that join components, at most one fewer than there are components."""
+    first, kind, second = (table.column(c)[0].as_py() for c in ("first", "kind", "second"))
+    apart, block = table.column("apart").to_numpy(), table.column("block").to_numpy()
+    is_left = apart & (block == first)
+    is_right = (apart & (block == second)) if kind == "outer" else ~apart
+    if not is_left.any() or not is_right.any():
+        return [], []
+    nodes, labels = table.column("node").to_pylist(), table.column("label").to_pylist()
+    sets = [np.asarray(x.values) for x in table.column("shingles")]
+    sizes = np.array([len(x) for x in sets])
+    left, right = np.flatnonzero(is_left), np.flatnonzero(is_right)
+    common = _common([sets[i] for i in left], [sets[i] for i in right])
+    union = sizes[left][:, None] + sizes[right][None, :] - common
+    root = {label: label for label in labels}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    found = ([], [])
+    for i, j in zip(*np.nonzero(100 * common >= percent * union), strict=True):
+        a, b = left[i], right[j]
+        x, y = find(labels[a]), find(labels[b])
+        if x != y:
+            root[x] = y
+            found[0].append(nodes[a])
+            found[1].append(nodes[b])
+    return found
 
 
 def _agreeing(batch: pa.RecordBatch, least: int) -> pa.RecordBatch:
