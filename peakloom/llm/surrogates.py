@@ -59,9 +59,20 @@ PATTERNS = {
     "phone": "(?<![\\w+])(?:\\+(?=(?:[ .()-]{0,2}\\d){8})\\d{1,3}[ .-]?(?:\\(\\d{1,4}\\)[ .-]?)?\\d{2,12}(?:[ .-]\\d{2,8}){0,4}"
     "|(?:\\(\\d{3}\\) ?|\\d{3}[ .-])\\d{3}[ .-]\\d{4})(?!\\w)",
     "card": "(?<![\\w.])(?:\\d{13,19}|\\d{4}(?:[ -]\\d{4}){3})(?!\\w)",
-    "name": f"(?<!\\p{{L}})(?:(?:{_title})\\.? (?:(?:{_given}) )?\\p{{Lu}}\\p{{L}}+|(?:{_given}) \\p{{Lu}}\\p{{L}}+)",
+    "name": f"(?=[\\p{{Lu}}])(?<!\\p{{L}})(?:(?:{_title})\\.? (?:(?:{_given}) )?\\p{{Lu}}\\p{{L}}+|(?:{_given}) \\p{{Lu}}\\p{{L}}+)",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+NUMBERS = "|".join(f"(?:{p})" for n, p in PATTERNS.items() if n not in ("email", "name"))
+
+
+def has_mention(text: Column) -> Column:
+    """Whether there is any mention; cheap tests come first, as most texts have no ``@`` and few digits."""
+    return F.coalesce(
+        (text.contains("@") & text.rlike(PATTERNS["email"]))
+        | (text.rlike("[0-9]") & text.rlike(NUMBERS))
+        | text.rlike(PATTERNS["name"]),
+        F.lit(False),
+    )
 
 
 def _whole(kind: str) -> str:
@@ -296,7 +307,7 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``docs`` with every mention of personal data in ``text`` replaced; ``n_mentions`` counts them."""
     scratch = Scratch(docs.sparkSession)
     mentions = F.regexp_extract_all(F.col(text), F.lit(ANY), F.lit(0))
-    hit = F.coalesce(F.col(text).rlike(ANY), F.lit(False))
+    hit = has_mention(F.col(text))
     some = docs.where(hit)
     listed = some.select(F.md5(F.col(text).cast("binary")).alias("__key"), F.explode(F.array_distinct(mentions)).alias("m"))
     listed = listed.select("__key", F.explode(_identities(F.col("m"))).alias("identity")).distinct()
