@@ -124,6 +124,15 @@ def network(spark, sf):
     return pairs.withColumn("cosine", F.round("cosine", 6))
 
 
+@query(NETWORK_SQL)
+def network_shifted(spark, sf):
+    """The same with the peaks of odd documents 0.03 off, so that each match needs the tolerance."""
+    off = F.lit(0.03) * (F.col("id") % 2)
+    peaks = document_peaks(spark, sf).withColumn("mz", F.transform("mz", lambda m: m + off))
+    pairs = network_pairs(peaks, replace(PARAMS, min_cosine=0.8), Scratch(spark))
+    return pairs.withColumn("cosine", F.round("cosine", 6))
+
+
 @query(NETWORK_SQL + " AND count(*) >= 6")
 def network_by_shards(spark, sf):
     params, scratch = replace(PARAMS, min_cosine=0.8, min_matched_peaks=6), Scratch(spark)

@@ -5,10 +5,11 @@ from pyspark.sql import functions as F
 
 from peakloom.functions.peaks import hash_bin, vectorise
 from peakloom.operators import rangejoin
-from peakloom.operators.cluster import cluster_spectra
+from peakloom.operators.cluster import cluster_spectra, prepare
 from peakloom.operators.components import components
 from peakloom.operators.ids import dense_index
 from peakloom.operators.network import greedy_matches, network_pairs
+from peakloom.operators.similarity import explode_prefixes, feature_counts, prefixes
 from peakloom.params import ClusterParams, Tolerance
 
 
@@ -16,11 +17,8 @@ def labels_of(result):
     return {(r.path, r.scan): r.temp_cluster for r in result.assign.collect()}
 
 
-@pytest.mark.parametrize("chunk", [4096, 3])
-@pytest.mark.parametrize("hash_len", [None, 400])
+@pytest.mark.parametrize(("chunk", "hash_len"), [(4096, None), (3, None), (4096, 400)])
 def test_clusters_equal_brute_force(spark, scratch, chunk, hash_len):
-    if hash_len and chunk == 3:
-        pytest.skip("one hashed run is enough")
     rows = random_spectra(5)
     params = ClusterParams(hash_len=hash_len)
     got = cluster_spectra(spectra_frame(spark, rows).repartition(3), params, scratch, chunk)
@@ -217,3 +215,49 @@ def test_greedy_prefers_the_larger_product():
 def test_tolerance_needs_a_unit(bad):
     with pytest.raises(ValueError):
         Tolerance.parse(bad)
+
+
+def test_spectra_that_share_one_strong_peak_do_not_all_meet(spark, scratch):
+    """1,500 dissimilar spectra with a common peak of one mass make next to no candidate pairs."""
+    count = 1500
+    rows = [
+        dict(path="/d/a.mzML", scan=n, precursor_mz=500.0, charge=2, mz=[150.0, 200.0 + 0.2 * n], intensity=[10.0, 10.0])
+        for n in range(count)
+    ]
+    vectors = prepare(spectra_frame(spark, rows), ClusterParams(), scratch)
+    ordered = prefixes(vectors.select("spec_id", "bins", "weights"), ClusterParams().similarity, feature_counts(vectors))
+    meetings = explode_prefixes(ordered).groupBy("feature").count().selectExpr("sum(count * (count - 1) / 2)").first()[0]
+    assert meetings < 10 * count
+    assert cluster_spectra(spectra_frame(spark, rows), ClusterParams(), scratch).assign.where("temp_cluster >= 0").count() == 0
+
+
+def test_neighbourhood_of_four_equals_brute_force(spark, scratch):
+    rows = random_spectra(11, 10, 5, jitter=6e-6)
+    params = ClusterParams(min_samples=4)
+    vecs = [vector(r, params.fragment_tol) for r in rows]
+    near = {n: {} for n in range(len(rows))}
+    for a in near:
+        for b in near:
+            ma, mb = rows[a]["precursor_mz"], rows[b]["precursor_mz"]
+            same = rows[a]["charge"] == rows[b]["charge"] and abs(ma - mb) <= params.precursor_tol.relative * max(ma, mb)
+            cosine = sum(w * vecs[b].get(k, 0.0) for k, w in vecs[a].items())
+            if a != b and same and cosine >= params.similarity:
+                near[a][b] = cosine
+    core = {n for n in near if len(near[n]) + 1 >= 4}
+    group = {n: n for n in core}
+    for _ in core:
+        for n in core:
+            group[n] = min([group[n], *(group[m] for m in near[n] if m in core)])
+    for n in set(near) - core:
+        best = min(((-round(c, 9), rows[m]["scan"], group[m]) for m, c in near[n].items() if m in core), default=None)
+        if best:
+            group[n] = best[2]
+    got = labels_of(cluster_spectra(spectra_frame(spark, rows).repartition(3), params, scratch))
+    found, want = {}, {}
+    for n, r in enumerate(rows):
+        label = got[r["path"], r["scan"]]
+        assert (label < 0) == (n not in group)
+        if n in group:
+            found.setdefault(label, set()).add(n)
+            want.setdefault(group[n], set()).add(n)
+    assert sorted(map(sorted, found.values())) == sorted(map(sorted, want.values())) and len(want) > 3
