@@ -66,8 +66,9 @@ def dbscan_of_four(spark, sf):
 MEDOID_SQL = """,
 sums AS (SELECT temp_cluster, bin, sum(w) AS s FROM vec JOIN label USING (doc_id) GROUP BY ALL),
 score AS (
-  SELECT temp_cluster, doc_id, round(sum(w * s), 9) AS score
-  FROM vec JOIN label USING (doc_id) JOIN sums USING (temp_cluster, bin) GROUP BY ALL),
+  SELECT temp_cluster, doc_id, round(sum(w * s) / any_value(n), 9) AS score
+  FROM vec JOIN label USING (doc_id) JOIN sums USING (temp_cluster, bin)
+  JOIN (SELECT temp_cluster, count(*) AS n FROM label GROUP BY ALL) USING (temp_cluster) GROUP BY ALL),
 medoid AS (SELECT temp_cluster, arg_min(doc_id, (-score, doc_id)) AS doc_id FROM score GROUP BY temp_cluster)"""
 
 
@@ -86,7 +87,7 @@ def cluster_representatives(spark, sf):
 @query(
     """
 WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
-p AS (SELECT a.label, a.vec_id, round(sum(list_dot_product(a.v, b.v)), 9) AS score FROM e a JOIN e b ON a.label = b.label GROUP BY ALL)
+p AS (SELECT a.label, a.vec_id, round(avg(list_dot_product(a.v, b.v)), 9) AS score FROM e a JOIN e b ON a.label = b.label GROUP BY ALL)
 SELECT label::BIGINT AS root, arg_min(vec_id, (-score, vec_id)) AS spec_id FROM p GROUP BY label"""
 )
 def embedding_medoids(spark, sf):
@@ -102,7 +103,7 @@ def embedding_medoids(spark, sf):
         F.sequence(F.lit(0), size - 1).cast("array<bigint>").alias("bins"),
         F.col("embedding").cast("array<double>").alias("weights"),
     )
-    return medoids(labels, vectors)
+    return medoids(labels, vectors, Scratch(spark))
 
 
 NETWORK_SQL = (
@@ -258,8 +259,9 @@ l0 AS MATERIALIZED (
   FROM (SELECT x AS doc_id, min(y) AS root FROM r0 GROUP BY x)),
 sums AS (SELECT cluster_id, bin, sum(w) AS s FROM vec JOIN l0 USING (doc_id) GROUP BY ALL),
 score AS (
-  SELECT cluster_id, doc_id, round(sum(w * s), 9) AS score
-  FROM vec JOIN l0 USING (doc_id) JOIN sums USING (cluster_id, bin) GROUP BY ALL),
+  SELECT cluster_id, doc_id, round(sum(w * s) / any_value(n), 9) AS score
+  FROM vec JOIN l0 USING (doc_id) JOIN sums USING (cluster_id, bin)
+  JOIN (SELECT cluster_id, count(*) AS n FROM l0 GROUP BY ALL) USING (cluster_id) GROUP BY ALL),
 medoid AS (SELECT cluster_id, arg_min(doc_id, (-score, doc_id)) AS doc_id FROM score GROUP BY cluster_id),
 sampled AS (
   SELECT cluster_id, doc_id FROM (

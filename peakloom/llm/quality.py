@@ -31,8 +31,8 @@ from pyspark.sql.window import Window
 from peakloom.llm.words import BYTE_VALUES, SPACED, Classes, byte_classes, binary, buffers, groups, mix, words_of
 
 BITS = 18
-SAMPLE_ROWS = 12_000
-SAMPLE_ENTRIES = 20_000_000
+SAMPLE_ROWS = 8_000
+SAMPLE_ENTRIES = 15_000_000
 EPOCHS = 12
 COST = 0.1
 SMOOTHING = 1.0
@@ -100,7 +100,6 @@ def _descend(rows: list[np.ndarray], signs: np.ndarray, scale: np.ndarray) -> tu
     """Hinge loss with an L2 penalty, by dual coordinate descent; the intercept is a constant feature."""
     weights, intercept = np.zeros(len(scale)), 0.0
     squares = np.array([(scale[x] ** 2).sum() + 1 for x in rows])
-    values = [scale[x] for x in rows]
     weight_of = {1: 0.5 * len(rows) / max((signs > 0).sum(), 1), -1: 0.5 * len(rows) / max((signs < 0).sum(), 1)}
     most = np.array([COST * weight_of[int(s)] for s in signs])
     dual = np.zeros(len(rows))
@@ -108,8 +107,9 @@ def _descend(rows: list[np.ndarray], signs: np.ndarray, scale: np.ndarray) -> tu
     for _ in range(EPOCHS):
         moved = 0.0
         for i in draw.permutation(len(rows)):
-            x, v, sign = rows[i], values[i], signs[i]
-            gradient = sign * ((weights[x] * v).sum() + intercept) - 1
+            x, sign = rows[i], signs[i]
+            v = scale[x]
+            gradient = sign * (weights[x] @ v + intercept) - 1
             new = min(max(dual[i] - gradient / squares[i], 0.0), most[i])
             step = (new - dual[i]) * sign
             if step:
@@ -180,8 +180,11 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", usable=Non
     order = Window.orderBy(F.xxhash64("doc_id"), "doc_id", "features")
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "features").limit(SAMPLE_ROWS)
     bounded = chosen.withColumn("total", F.sum("n").over(order)).where(F.col("total") <= SAMPLE_ENTRIES)
-    rows = bounded.select("label", "features").collect()
-    return fit([np.frombuffer(r.features, "<u4").astype(np.int64) for r in rows], [r.label == 1 for r in rows])
+    rows, good = [], []
+    for row in bounded.select("label", "features").toLocalIterator():
+        rows.append(np.frombuffer(row.features, "<u4"))
+        good.append(row.label == 1)
+    return fit(rows, good)
 
 
 def held_out(doc_id: Column) -> Column:

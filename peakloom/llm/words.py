@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE = 4 << 20  # bytes handled at once; a longer text is cut between words
+PIECE = 1 << 20  # bytes handled at once; a longer text is cut between words
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 BYTE_VALUES = np.random.default_rng(20240601).integers(0, 1 << 64, 256, dtype=np.uint64)
