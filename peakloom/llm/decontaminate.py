@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peakloom.llm.words import ALPHANUMERIC, binary, buffers, groups, mix, words_of
+from peakloom.llm.words import ALPHANUMERIC, binary, bound_batches, buffers, groups, mix, words_of
 from peakloom.session import Scratch
 
 BLOCK_WORDS = 200_000
@@ -285,6 +285,7 @@ _HIDDEN = ("__n_words", "__spans", "__items")
 def match_items(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
     """``docs`` with ``n_words``, ``spans`` (hit word ranges, each with its longest match) and ``items``."""
     spark = docs.sparkSession
+    bound_batches(spark)
     schema = T.StructType([*docs.schema.fields, *_fields(spark)])
     out, scratch = None, None
     for matcher in _matchers(items, window):

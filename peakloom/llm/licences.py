@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from peakloom.llm.words import ALPHANUMERIC, Words, binary, buffers, groups, words_of
+from peakloom.llm.words import ALPHANUMERIC, Words, binary, bound_batches, buffers, groups, words_of
 
 # Phrases with their labels, and templates with theirs.
 PHRASES = {
@@ -204,6 +204,7 @@ _FIELDS = [
 
 def scan(docs: DataFrame) -> DataFrame:
     """``docs`` with a struct ``license``: word and phrase counts, places, labels and score."""
+    bound_batches(docs.sparkSession)
     struct = T.StructType([T.StructField(n, t) for n, t, _ in _FIELDS])
     schema = T.StructType([*docs.schema.fields, T.StructField("license", struct)])
 

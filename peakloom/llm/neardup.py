@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peakloom.llm.stars import components
-from peakloom.llm.words import SPACED, Classes, binary, buffers, groups, mix, shingles, words_of
+from peakloom.llm.words import SPACED, Classes, binary, bound_batches, buffers, groups, mix, shingles, words_of
 from peakloom.session import Scratch
 
 BANDS, ROWS = 25, 5
@@ -215,6 +215,7 @@ def near_duplicates(
     component_id is the smallest doc_id reachable, and the document of that id is kept.
     """
     scratch = scratch or Scratch(docs.sparkSession)
+    bound_batches(docs.sparkSession)
     rows = scratch.save(_sketches(docs, k, classes), "sketches")
     filled = rows.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
     rows_of = filled.groupBy("digest", "doc_id").agg(F.count(F.lit(1)).alias("copies"))

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from peakloom.llm.words import BYTE_VALUES, SPACED, Classes, byte_classes, binary, buffers, groups, mix, words_of
+from peakloom.llm.words import BYTE_VALUES, SPACED, Classes, binary, bound_batches, byte_classes, buffers, groups, mix, words_of
 
 BITS = 18
 SAMPLE_ROWS = 8_000
@@ -158,6 +158,7 @@ def fit(rows: list[np.ndarray], good: list[bool]) -> Model:
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", usable=None) -> Model:
     """Fit on a bounded sample of ``labels`` (doc_id and a 0/1 column); ``usable`` is a condition on its rows."""
+    bound_batches(docs.sparkSession)
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
     if usable is not None:
         known = known.where(usable)
@@ -194,6 +195,7 @@ def held_out(doc_id: Column) -> Column:
 
 def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     """``docs`` with a score from 0 to 1; higher means that label 1 is likelier."""
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
 

@@ -6,19 +6,33 @@ that tells ASCII characters apart and takes all others alike can be decided byte
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 PIECE = 1 << 20  # bytes handled at once; a longer text is cut between words
+#: Bounds of what Spark hands to Python at once. Texts differ in length, so rows alone bound nothing.
+BATCH_ROWS, BATCH_BYTES = 2_000, 8 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 BYTE_VALUES = np.random.default_rng(20240601).integers(0, 1 << 64, 256, dtype=np.uint64)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch sizes to the bounds above; smaller ones stay."""
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        number, unit = re.fullmatch(r"(-?\d+)\s*([kmgt]?)i?b?", spark.conf.get(key).strip().lower()).groups()
+        now = int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
+        if now <= 0 or now > most:
+            spark.conf.set(key, str(most))
+
+
 @dataclass(frozen=True)
 class Classes:
     """Which bytes make words, and what they are lower-cased to."""
