@@ -11,8 +11,9 @@ string; taking one away restores it. New lines and per cents of a role are writt
 mask covers the texts of assistant turns and nothing else.
 
 Defined cases: null texts and roles count as empty; a message whose parent does not exist is a root; a tree
-without messages gives no row; messages that repeat tree and id are one turn each, in the order of role and text;
-ties of score go to the smaller leaf id. A cycle has no leaf and no root and gives no path.
+without messages gives no row, nor do messages without tree or id; messages that repeat tree and id are one turn
+each, in the order of role and text; ties of score go to the smaller leaf id. A cycle has no leaf and gives no path; a
+leaf that hangs on one is an error.
 """
 
 from __future__ import annotations
@@ -61,20 +62,22 @@ def paths(messages: DataFrame, scratch: Scratch) -> DataFrame:
     )
     own = nodes.select("tree", F.col("id").alias("parent")).distinct()
     jump = scratch.save(nodes.join(own, ["tree", "parent"]).select("tree", "id", F.col("parent").alias("to")), "jump")
-    step = 1
-    while not jump.isEmpty():
+    step, most = 1, nodes.count()
+    while True:
         further = known.join(jump, ["tree", "id"]).select(
             "tree", "leaf", F.col("to").alias("id"), (F.col("above") + step).alias("above")
         )
+        further = scratch.save(further, "further")
+        if further.isEmpty():
+            return known
+        if step > most:
+            raise ValueError("a branch runs into a cycle")
         known = scratch.save(known.unionAll(further), "path")
         twice = jump.select("tree", "id", F.col("to").alias("middle")).join(
             jump.select("tree", F.col("id").alias("middle"), "to"), ["tree", "middle"]
         )
         jump = scratch.save(twice.select("tree", "id", "to"), "jump")
         step *= 2
-        if step > 1 << 40:
-            raise ValueError("messages form a cycle")
-    return known
 
 
 def conversations(messages: DataFrame, best: int | None = None) -> DataFrame:

@@ -31,7 +31,7 @@ def test_branches_of_a_tree(spark):
         (3, 1, 2, "user", "cycle", 0.0),
         (3, 2, 1, "user", "cycle", 0.0),
     ]
-    trees = spark.createDataFrame([r for r in rows if r[0] in (1, 2)], SCHEMA)
+    trees = spark.createDataFrame([r for r in rows if r[0] is not None], SCHEMA)
     got = {(r.tree, r.leaf): r for r in _read(chat.conversations(trees)).collect()}
     assert sorted(got) == [(1, 3), (1, 5), (1, 6), (2, 1), (2, 7)]
     assert [t.text for t in got[1, 5].turns] == ["q", "good", "", "end <|im_end|>\n"]
@@ -40,6 +40,9 @@ def test_branches_of_a_tree(spark):
     best = {(r.tree, r.leaf): r.rank for r in chat.conversations(trees, best=1).collect()}
     assert best == {(1, 5): 1, (2, 7): 1}
     assert chat.conversations(trees.where("false")).count() == 0
+    hanging = spark.createDataFrame([*rows[-2:], (3, 3, 1, "user", "leaf", 0.0)], SCHEMA)
+    with pytest.raises(ValueError, match="cycle"):
+        chat.conversations(hanging)
 
 
 def test_a_long_chain_needs_few_rounds(spark):
