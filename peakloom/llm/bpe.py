@@ -8,8 +8,8 @@ piece that is a token itself is that token. This gives the ids that the pairwise
 piece on its own.
 
 Every block is encoded on its own, so nothing moves between tasks and the work follows the bytes of the input.
-Each Python worker keeps the ids of pieces it has met, up to ``KNOWN_PIECES``, then starts afresh; what it keeps
-changes the time, never the result.
+A task keeps the ids of pieces it has met, up to ``KNOWN_PIECES``, then starts afresh; what it keeps changes the time,
+never the result.
 
 Defined cases: null counts as empty and has no ids; special token strings are ordinary text; repeated rows are
 handled one by one; other columns pass through unchanged. An id outside the vocabulary makes decoding fail.
@@ -30,8 +30,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from peakloom.llm.words import bound_batches, releasing
+
 BLOCK_CHARS = 3 << 20
-KNOWN_PIECES = 250_000
+KNOWN_PIECES = 150_000
 LATIN_END = 0x250
 
 
@@ -276,25 +278,27 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: st
 
     ``path`` is a rank file at the same place on every machine.
     """
+    bound_batches(docs.sparkSession)
     schema = T.StructType([*docs.schema.fields, T.StructField(ids, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path, pattern)
-        for batch in batches:
-            column = batch.column(text)
-            at = 0
-            while at < len(column):
-                stop = min(at + 1024, len(column))
-                part = batch.slice(at, stop - at)
-                found = own.encode([t or "" for t in part.column(text).to_pylist()])
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.binary())], names=[*batch.schema.names, ids])
-                at = stop
+        try:
+            for batch in batches:
+                for at in range(0, batch.num_rows, 1024):
+                    part = batch.slice(at, 1024)
+                    found = own.encode([t or "" for t in part.column(text).to_pylist()])
+                    columns = [*part.columns, pa.array(found, pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, ids])
+        finally:  # the worker process stays, with what it holds, while other stages run
+            own.known = {}
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(releasing(run), schema)
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``encoded`` with the bytes that the ids stand for."""
+    bound_batches(encoded.sparkSession)
     schema = T.StructType([*encoded.schema.fields, T.StructField(decoded, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,7 +310,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", decoded: str = "deco
             ]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], names=[*batch.schema.names, decoded])
 
-    return encoded.mapInArrow(run, schema)
+    return encoded.mapInArrow(releasing(run), schema)
 
 
 @lru_cache(maxsize=2)

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peakloom.llm.words import ALPHANUMERIC, binary, bound_batches, buffers, groups, mix, words_of
+from peakloom.llm.words import ALPHANUMERIC, binary, bound_batches, buffers, groups, mix, releasing, words_of
 from peakloom.session import Scratch
 
 BLOCK_WORDS = 200_000
@@ -293,7 +293,7 @@ def match_items(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFram
         if out is not None:
             scratch = scratch or Scratch(spark)
             out = scratch.save(out, "matched")
-        out = (out if out is not None else docs).mapInArrow(_pass(shared, out is not None), schema)
+        out = (out if out is not None else docs).mapInArrow(releasing(_pass(shared, out is not None)), schema)
     if out is None:
         words = F.coalesce(F.size(word_list(F.col("text"))), F.lit(0))
         out = docs.withColumns(
@@ -374,7 +374,7 @@ def clean(
         for batch in batches:
             yield _cut_batch(batch)
 
-    cleaned = left.mapInArrow(cut, left.schema)
+    cleaned = left.mapInArrow(releasing(cut), left.schema)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         changed = F.size(_HIDDEN[1]) > 0

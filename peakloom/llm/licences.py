@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from peakloom.llm.words import ALPHANUMERIC, Words, binary, bound_batches, buffers, groups, words_of
+from peakloom.llm.words import ALPHANUMERIC, Words, binary, bound_batches, buffers, groups, releasing, words_of
 
 # Phrases with their labels, and templates with theirs.
 PHRASES = {
@@ -216,4 +216,4 @@ def scan(docs: DataFrame) -> DataFrame:
             found = pa.StructArray.from_arrays(arrays, names=[n for n, _, _ in _FIELDS])
             yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, "license"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(releasing(run), schema)

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peakloom.llm.stars import components
-from peakloom.llm.words import SPACED, Classes, binary, bound_batches, buffers, groups, mix, shingles, words_of
+from peakloom.llm.words import SPACED, Classes, binary, bound_batches, buffers, groups, mix, shingles, releasing, words_of
 from peakloom.session import Scratch
 
 BANDS, ROWS = 25, 5
@@ -103,7 +103,7 @@ def _sketches(docs: DataFrame, k: int, classes: Classes) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_shingles bigint, digest binary, signature binary, bands array<bigint>"
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(releasing(run), schema)
 
 
 def _sets(docs: DataFrame, k: int, classes: Classes) -> DataFrame:
@@ -125,7 +125,7 @@ def _sets(docs: DataFrame, k: int, classes: Classes) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(arrays, names=["node", "digest", "shingles"])
 
     kind = docs.schema["node"].dataType.simpleString()
-    return docs.mapInArrow(run, f"node {kind}, digest binary, shingles array<bigint>")
+    return docs.mapInArrow(releasing(run), f"node {kind}, digest binary, shingles array<bigint>")
 
 
 class _Links:
@@ -150,7 +150,7 @@ class _Links:
                 if batch.num_rows:
                     yield _agreeing(batch, least)
 
-        return joined.mapInArrow(run, pairs.schema)
+        return joined.mapInArrow(releasing(run), pairs.schema)
 
     def _sets_of(self, nodes: DataFrame) -> DataFrame:
         """(node, shingles) of the given classes, from the whole text of the document they are named after."""

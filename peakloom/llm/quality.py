@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from peakloom.llm.words import BYTE_VALUES, SPACED, Classes, binary, bound_batches, byte_classes, buffers, groups, mix, words_of
+from peakloom.llm.words import BYTE_VALUES, SPACED, Classes, binary, bound_batches, byte_classes, buffers, groups, mix, releasing, words_of
 
 BITS = 18
 SAMPLE_ROWS = 8_000
@@ -177,7 +177,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", usable=Non
     # at most SAMPLE_ROWS pairs of numbers, so the broadcast has a bound
     chosen = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
     kinds = {f.name: f.dataType.simpleString() for f in chosen.schema}
-    chosen = chosen.mapInArrow(run, f"doc_id {kinds['doc_id']}, label {kinds['label']}, n bigint, features binary")
+    chosen = chosen.mapInArrow(releasing(run), f"doc_id {kinds['doc_id']}, label {kinds['label']}, n bigint, features binary")
     order = Window.orderBy(F.xxhash64("doc_id"), "doc_id", "features")
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "features").limit(SAMPLE_ROWS)
     bounded = chosen.withColumn("total", F.sum("n").over(order)).where(F.col("total") <= SAMPLE_ENTRIES)
@@ -204,4 +204,4 @@ def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
             scores = pa.array(shared.value.scores(binary(batch.column("text"))), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(releasing(run), schema)

@@ -6,8 +6,9 @@ that tells ASCII characters apart and takes all others alike can be decided byte
 
 from __future__ import annotations
 
+import ctypes
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,6 +34,26 @@ def bound_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system, where its C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def releasing(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The same function over batches; at its end the worker, which goes on living, gives its memory back."""
+
+    def whole(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return whole
+
+
 @dataclass(frozen=True)
 class Classes:
     """Which bytes make words, and what they are lower-cased to."""
