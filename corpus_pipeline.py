@@ -46,8 +46,8 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and whether they decode to its text."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode(docs.select("doc_id", "source", "lang", "text"), path, public_tokenizers.PATTERN)
-    decoded = bpe.decode(encoded, path)
+    texts = docs.select("doc_id", "source", "lang", "text")
+    decoded = bpe.encode(texts, path, public_tokenizers.PATTERN, decoded="decoded")
     same = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
     n_tokens = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
     return decoded.select("doc_id", "source", "lang", n_tokens, "ids", same.alias("round_trip"))

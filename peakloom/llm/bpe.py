@@ -32,8 +32,8 @@ from pyspark.sql import types as T
 
 from peakloom.llm.words import bound_batches, releasing
 
-BLOCK_CHARS = 3 << 20
-KNOWN_PIECES = 150_000
+BLOCK_CHARS = 2 << 20
+KNOWN_PIECES = 100_000
 LATIN_END = 0x250
 
 
@@ -81,6 +81,7 @@ class Replay:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
+        self.tokens = {rank: token for token, rank in ranks.items()}
         self.base = max(ranks.values(), default=0) + 1
         pairs = {}
         for token, rank in ranks.items():
@@ -273,29 +274,39 @@ def encoder(path: str, pattern: str) -> Encoder:
     return Encoder(path, pattern)
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def encode(
+    docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str | None = None
+) -> DataFrame:
     """``docs`` with a column of token ids as little-endian unsigned 32-bit integers.
 
-    ``path`` is a rank file at the same place on every machine.
+    ``path`` is a rank file at the same place on every machine. ``decoded`` names a further column for the bytes
+    that the ids stand for, decoded in the same pass.
     """
     bound_batches(docs.sparkSession)
-    schema = T.StructType([*docs.schema.fields, T.StructField(ids, T.BinaryType())])
+    names = [ids] if decoded is None else [ids, decoded]
+    schema = T.StructType([*docs.schema.fields, *[T.StructField(n, T.BinaryType()) for n in names]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path, pattern)
         try:
             for batch in batches:
-                for at in range(0, batch.num_rows, 1024):
-                    part = batch.slice(at, 1024)
+                for at in range(0, batch.num_rows, 512):
+                    part = batch.slice(at, 512)
                     found = own.encode([t or "" for t in part.column(text).to_pylist()])
-                    columns = [*part.columns, pa.array(found, pa.binary())]
-                    yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, ids])
+                    new = [pa.array(found, pa.binary())]
+                    if decoded is not None:
+                        new.append(pa.array([_bytes_of(x, own.replay.tokens) for x in found], pa.binary()))
+                    yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[*batch.schema.names, *names])
         finally:  # the worker process stays, with what it holds, while other stages run
             own.known = {}
 
     return docs.mapInArrow(releasing(run), schema)
 
 
+def _bytes_of(ids: bytes, tokens: dict[int, bytes]) -> bytes:
+    return b"".join(map(tokens.__getitem__, memoryview(ids).cast("I")))
+
+
 def decode(encoded: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``encoded`` with the bytes that the ids stand for."""
     bound_batches(encoded.sparkSession)
@@ -305,7 +316,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", decoded: str = "deco
         tokens = _tokens(path)
         for batch in batches:
             found = [
-                None if one is None else b"".join(map(tokens.__getitem__, memoryview(one).cast("I")))
+                None if one is None else _bytes_of(one, tokens)
                 for one in (x.as_py() for x in batch.column(ids))
             ]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], names=[*batch.schema.names, decoded])
