@@ -1,11 +1,15 @@
 """Surrogates for personal data: keyed replacements of the same type, gender, script and format.
 
 Detected are e-mail addresses, phone numbers, IP addresses, payment card and account numbers, social security
-numbers, and names (a title or a common given name, then a capitalised surname). Only DataFrame functions are used.
-
-* Every mention has one or two identities, free of its spelling: lower case for an address, the last ten digits
-  after the country code for a phone number, given name and surname apart. All mentions of an identity get the same surrogate, written the way
-  each mention is written (separators, country code, capitals, title).
+numbers, and names. A name begins with a title, or with a given name of ``given_names``, and takes the whole run of
+capitalised words after it, with hyphens, apostrophes, initials and particles (``de la``, ``van``). Only DataFrame
+functions are used.
+
+* Every mention has one or more identities, free of its spelling: lower case for an address, the last ten digits
+  after the country code for a phone number. Of a name, the last word is a surname, the first of several and every
+  further given name of the list are given names, all others surnames; parts joined by hyphens count one by one.
+  All mentions of an identity get the same surrogate, written the way each mention is written (separators, country
+  code, capitals, title, particles, ``O'``); an initial becomes that of the new surname.
 * A surrogate is drawn from a keyed SHA-256 of identity and attempt. It keeps lengths, digits, letters and capitals;
   an address goes to a reserved domain, an IP address to a reserved range, a valid card number stays valid, a given
   name keeps gender and script.
@@ -13,6 +17,13 @@ numbers, and names (a title or a common given name, then a capitalised surname).
   have drawn, is drawn again by all but the smallest of them, until all are distinct. Later attempts draw from
   larger ranges.
 
+Not detected are names without title that do not begin with a listed given name (``Zebulon Pike``, a surname or given
+name alone, surname first), names of which the list leaves the given name out as a common word (``Will Smith``),
+names in lower case or in scripts without capitals, the part of a name after a line break or a second blank, and
+titles that are not in ``TITLES`` or followed by a lower-case addition (``Dr. med.``). A given name that is not listed
+has the gender of its title, so it counts as another one after ``Mrs`` than after ``Dr``. A run of capitalised words
+is taken whole even if its end is no name (``John Smith Avenue``).
+
 Identities are counted before they move, so a mention in a third of all rows is one row of the check. Only rows with
 mentions are joined, by the MD5 of their text; the surrogates of a text are one small map. Other rows never move.
 
@@ -25,6 +36,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from peakloom.llm.given_names import NAMES
 from peakloom.session import Scratch
 
 # Titles by gender, given names by gender and script, syllables of surnames by script.
@@ -47,8 +59,29 @@ SYLLABLES = {
     "greek": ["βα", "γο", "δα", "κο", "λα", "μα", "νι", "πα", "ρο", "σα", "το", "φι"],
 }
 
-_given = "|".join(sorted((n for names in GIVEN.values() for n in names), reverse=True))
+# Detected are the surrogates' names and the far longer list.
+LISTED = {g: NAMES[g] | {n for k, names in GIVEN.items() if k[0] == g for n in names} for g in NAMES}
+
+
+def _trie(words) -> str:
+    """A pattern of all words that tries every common beginning once."""
+    ends: dict[str, set] = {}
+    for w in words:
+        ends.setdefault(w[:1], set()).add(w[1:])
+    optional = ends.pop("", None) is not None
+    parts = [c + _trie(rest) for c, rest in sorted(ends.items())]
+    if not parts:
+        return ""
+    return f"(?:{'|'.join(parts)}){'?' if optional else ''}"
+
+
+_given = _trie(set().union(*LISTED.values()))
 _title = "|".join(sorted((t for titles in TITLES.values() for t in titles), reverse=True))
+_letter = "[\\p{L}\\p{M}]"
+_particle = "(?:(?:v[ao]n|de)(?: (?:der|den|dem|la|las|los|het))?|del|della|di|da|dos|das|du|ten|ter|bin|ibn|al|el) "
+# Possessive, so that Java matches runs of any length without recursion
+_word = f"(?!(?:{_title})(?!{_letter}))(?:\\p{{Lu}}['’])?\\p{{Lu}}{_letter}++(?:(?:['’]|-(?:\\p{{Lu}}['’])?)\\p{{Lu}}{_letter}++)*+"
+_step = f"(?:(?:(?:\\p{{Lu}}\\.){{1,4}}|\\p{{Lu}}) )*+(?:{_particle})?{_word}"
 _octet = "(?:25[0-5]|2[0-4]\\d|1\\d\\d|[1-9]?\\d)"
 PATTERNS = {
     "email": "(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])",
@@ -59,7 +92,8 @@ PATTERNS = {
     "phone": "(?<![\\w+])(?:\\+(?=(?:[ .()-]{0,2}\\d){8})\\d{1,3}[ .-]?(?:\\(\\d{1,4}\\)[ .-]?)?\\d{2,12}(?:[ .-]\\d{2,8}){0,4}"
     "|(?:\\(\\d{3}\\) ?|\\d{3}[ .-])\\d{3}[ .-]\\d{4})(?!\\w)",
     "card": "(?<![\\w.])(?:\\d{13,19}|\\d{4}(?:[ -]\\d{4}){3})(?!\\w)",
-    "name": f"(?=[\\p{{Lu}}])(?<!\\p{{L}})(?:(?:{_title})\\.? (?:(?:{_given}) )?\\p{{Lu}}\\p{{L}}+|(?:{_given}) \\p{{Lu}}\\p{{L}}+)",
+    "name": f"(?=\\p{{Lu}})(?<!\\p{{L}})(?:(?:(?:{_title})\\.? )++{_step}"
+    f"|{_given}(?!{_letter})(?:-\\p{{Lu}}{_letter}++)*+ {_step})(?: {_step})*+",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 NUMBERS = "|".join(f"(?:{p})" for n, p in PATTERNS.items() if n not in ("email", "name"))
@@ -98,34 +132,72 @@ def _script(name: Column) -> Column:
     )
 
 
+def _first(name: Column) -> Column:
+    """The first part of a name with hyphens, in lower case."""
+    return F.substring_index(F.lower(name), "-", 1)
+
+
+def _in_list(name: Column, genders: str = "fmn") -> Column:
+    return _first(name).isin(sorted({n.lower() for g in genders for n in LISTED[g]}))
+
+
 def _gender(given: Column, title: Column) -> Column:
     """By the given name, else by the title, else unknown."""
-    out = F.when(F.lower(given).isin([n.lower() for k, v in GIVEN.items() if k[0] == "f" for n in v]), "f")
-    out = out.when(F.lower(given).isin([n.lower() for k, v in GIVEN.items() if k[0] == "m" for n in v]), "m")
+    out = F.when(_in_list(given, "f"), "f").when(_in_list(given, "m"), "m")
     return out.when(title.isin(TITLES["f"]), "f").when(title.isin(TITLES["m"]), "m").otherwise("n")
 
 
-def _name_parts(mention: Column) -> tuple[Column, Column, Column]:
-    """Title, given name and surname of a name; the first two may be empty."""
-    title = F.regexp_extract(mention, f"^({_title})\\.? ", 1)
-    rest = F.regexp_replace(mention, f"^(?:{_title})\\.? ", "")
-    return title, F.regexp_extract(rest, "^(\\p{L}+) ", 1), F.regexp_extract(rest, "(\\p{L}+)$", 1)
+def _with_parts(mention: Column, use) -> Column:
+    """``use`` of the titles and the words of a name, both evaluated once."""
+    titles = F.regexp_extract(mention, f"^(?:(?:{_title})\\.? )+", 0)
+    words = F.split(mention.substr(F.length(titles) + 1, F.length(mention)), " ")
+    parts = F.array(F.struct(titles.alias("titles"), words.alias("words")))
+    return F.get(F.transform(parts, lambda p: use(p["titles"], p["words"])), 0)
+
+
+def _is_name(word: Column) -> Column:
+    """Whether a word of a name is neither particle nor initial."""
+    return word.rlike(f"^(?:\\p{{Lu}}['’])?\\p{{Lu}}{_letter}")
+
+
+def _core(part: Column) -> Column:
+    """A part of a name without ``O'``."""
+    return F.regexp_replace(part, "^\\p{Lu}['’](?=\\p{Lu})", "")
+
+
+def _part_identities(word: Column, i: Column, words: Column, titles: Column) -> Column:
+    """One identity for each part of a word that is joined by hyphens."""
+    title = F.regexp_extract(titles, f"^({_title})", 1)
+    is_given = (i < F.size(words) - 1) & ((i == 0) | _in_list(word))
+    gender = _gender(word, title)
+
+    def one(part: Column) -> Column:
+        name = F.lower(_core(part))
+        return F.when(is_given, F.concat_ws(":", F.lit("given"), gender, _script(_core(part)), name)).otherwise(
+            F.concat_ws(":", F.lit("surname"), _script(_core(part)), name)
+        )
+
+    return F.transform(F.split(word, "-"), one)
+
+
+def _name_identities(mention: Column) -> Column:
+    none = F.array().cast("array<string>")
+
+    def use(titles: Column, words: Column) -> Column:
+        return F.transform(words, lambda w, i: F.when(_is_name(w), _part_identities(w, i, words, titles)).otherwise(none))
+
+    return F.flatten(_with_parts(mention, use))
 
 
 def _identities(mention: Column) -> Column:
-    """The one or two identities behind a mention."""
+    """The identities behind a mention: several of a name, else one."""
     kind = _kind(mention)
-    title, given, surname = _name_parts(mention)
-    script = _script(surname)
-    given_id = F.concat_ws(":", F.lit("given"), _gender(given, title), script, F.lower(given))
-    surname_id = F.concat_ws(":", F.lit("surname"), script, F.lower(surname))
     numbers = F.concat_ws(":", kind, _digits(mention))
     national = _digits(F.regexp_replace(mention, "^\\+\\d{1,3}(?=[ .(-])", ""))
     phone = F.concat(F.lit("phone:"), F.regexp_extract(national, "(\\d{1,10})$", 1))
     plain = F.concat_ws(":", kind, F.lower(mention))
     return (
-        F.when((kind == "name") & (given != ""), F.array(given_id, surname_id))
-        .when(kind == "name", F.array(surname_id))
+        F.when(kind == "name", _name_identities(mention))
         .when(kind == "phone", F.array(phone))
         .when(kind.isin("card", "ssn"), F.array(numbers))
         .otherwise(F.array(plain))
@@ -216,22 +288,19 @@ def _pick(options: list[str], stream: Column, place: int) -> Column:
 
 
 def _given_name(value: Column, attempt: Column, stream: Column) -> Column:
-    """``value`` is gender:script:name; later attempts draw double and triple names."""
+    """``value`` is gender:script:name; later attempts draw double and longer names."""
     out = None
-    for (gender, script), names in GIVEN.items():
+    either = F.when(_byte(stream, F.lit(30)) % 2 == 0, "f").otherwise("m")
+    gender, script = F.substring_index(value, ":", 1), F.substring_index(F.substring_index(value, ":", 2), ":", -1)
+    # gender unknown: the lists take turns by the drawn number
+    gender = F.when(gender == "n", either).otherwise(gender)
+    for (g, s), names in GIVEN.items():
         names = [n.lower() for n in names]
-        one = F.concat_ws(
-            "-",
-            _pick(names, stream, 0),
-            F.when(attempt > 0, _pick(names, stream, 1)),
-            F.when(attempt > 2, _pick(names, stream, 2)),
-            F.when(attempt > 4, _pick(names, stream, 3)),
-        )
-        fits = value.startswith(f"{gender}:{script}:") | (F.lit(gender == "f") & value.startswith(f"n:{script}:"))
-        # gender unknown: the lists take turns by the drawn number
+        more = [F.when(attempt > 2 * i, _pick(names, stream, 1 + i)) for i in range(7)]
+        one = F.concat_ws("-", _pick(names, stream, 0), *more)
+        fits = (gender == g) & (script == s)
         out = F.when(fits, one) if out is None else out.when(fits, one)
-    prefix = F.substring_index(value, ":", 2)
-    return F.concat_ws(":", prefix, out)
+    return F.concat_ws(":", gender, script, out)
 
 
 def _surname(value: Column, attempt: Column, stream: Column) -> Column:
@@ -264,18 +333,40 @@ def _filled(mention: Column, digits: Column) -> Column:
     return F.array_join(F.transform(_characters(mention), one), "")
 
 
+def _rendered_name(mention: Column, surrogates: Column) -> Column:
+    def surrogate(identity: Column) -> Column:
+        return F.substring_index(F.element_at(surrogates, identity), ":", -1)
+
+    def use(titles: Column, words: Column) -> Column:
+        last = F.size(words) - 1
+
+        def word(w: Column, i: Column) -> Column:
+            ids = _part_identities(w, i, words, titles)
+
+            def part(p: Column, k: Column) -> Column:
+                new = surrogate(F.get(ids, k))
+                capitals = (p == F.upper(p)) & (F.length(_core(p)) > 1)
+                before = F.substring(p, F.lit(1), F.length(p) - F.length(_core(p)))
+                return F.concat(before, F.when(capitals, F.upper(new)).otherwise(_capital(new)))
+
+            surname = surrogate(F.element_at(_part_identities(F.get(words, last), last, words, titles), -1))
+            initial = F.regexp_replace(w, F.lit("\\p{Lu}"), F.upper(F.substring(surname, 1, 1)))
+            named = F.array_join(F.transform(F.split(w, "-"), part), "-")
+            return F.when(_is_name(w), named).when(w.rlike("^\\p{Lu}"), initial).otherwise(w)
+
+        return F.concat(titles, F.array_join(F.transform(words, word), " "))
+
+    return _with_parts(mention, use)
+
+
 def _rendered(mention: Column, surrogates: Column) -> Column:
     """A mention's replacement, from the map of its text's identities."""
     kind = _kind(mention)
     ids = _identities(mention)
     found = F.element_at(surrogates, F.element_at(ids, 1))
-    last = F.element_at(surrogates, F.element_at(ids, -1))
-    title = F.regexp_extract(mention, f"^((?:{_title})\\.? )", 1)
-    given = F.when(F.size(ids) > 1, F.concat(_capital(F.substring_index(found, ":", -1)), F.lit(" "))).otherwise("")
-    name = F.concat(title, given, _capital(F.substring_index(last, ":", -1)))
     upper = (mention == F.upper(mention)) & mention.rlike("\\p{Lu}\\P{Ll}*\\p{Lu}")
     return (
-        F.when(kind == "name", name)
+        F.when(kind == "name", _rendered_name(mention, surrogates))
         .when(kind.isin("phone", "card", "ssn"), _filled(mention, found))
         .when(kind.isin("email", "ip6", "iban") & upper, F.upper(found))
         .otherwise(found)

@@ -1,5 +1,7 @@
 import re
 
+from pyspark.sql import functions as F
+
 from peakloom.llm import surrogates
 
 SCHEMA = "doc_id bigint, text string, n_chars bigint, identity string"
@@ -42,6 +44,36 @@ def test_types_formats_and_coreference(spark):
     assert "z.org" not in out[6] and len(out[6]) > 100_000
 
 
+def test_names_beyond_the_surrogates(spark):
+    """Unlisted given names after titles, listed ones without, and whole runs of words with what joins them."""
+    texts = [
+        "Mary Johnson and Robert Smith",
+        "Mrs. Mary Johnson, Dr. Robert Smith, Frau Prof. Dr. Zyta Quork",
+        "Anna Smith-Jones; Maria Garcia Lopez; John O'Brien's",
+        "Mr. J. R. Tolkien, Mrs. Maria de la Cruz, MS. and Ms SMITH; Anna Smith Mr. Jones",
+        "Dr " + "Lorem " * 5_000 + "end",
+        "The House of Commons; Del Monte; Will Congress Act; Dr. who",
+    ]
+    out, counts = _run(spark, texts)
+    assert counts == [2, 3, 3, 5, 1, 0] and out[5] == texts[5]
+    one = re.fullmatch(r"([A-Z]\w+(?:-\w+)*) ([A-Z]\w+) and ([A-Z]\w+(?:-\w+)*) ([A-Z]\w+)", out[0]).groups()
+    two = re.fullmatch(r"Mrs\. (\S+) (\w+), Dr\. (\S+) (\w+), Frau Prof\. Dr\. \S+ \w+", out[1])
+    assert two.groups() == one and two[1].split("-")[0] in surrogates.GIVEN["f", "latin"]
+    assert two[3].split("-")[0] in surrogates.GIVEN["m", "latin"]
+    smith = one[3]
+    assert re.fullmatch(rf"\S+ {smith}-[A-Z]\w+; \S+ \w+ \w+; \S+ O'[A-Z]\w+'s", out[2])
+    assert re.fullmatch(rf"Mr\. ([A-Z])\. \1\. \1\w+, Mrs\. \S+ de la \w+, MS\. and Ms {smith.upper()}; \S+ {smith} Mr\. \w+", out[3])
+    real = "Mary Johnson Robert Smith Zyta Quork Jones Garcia Lopez Brien Tolkien Cruz SMITH Lorem".split()
+    assert not set(real) & set(re.findall(r"\w+", " ".join(out[:5])))
+
+
+def test_surrogate_names_do_not_run_out(spark):
+    """Late attempts draw from more names than four of six make."""
+    given = F.concat(F.lit("given:f:greek:"), F.col("id").cast("string"))
+    drawn = spark.range(3000).select(surrogates._draw(given, F.lit(14), "k").alias("drawn"))
+    assert drawn.distinct().count() > 2_900
+
+
 def test_distinct_people_stay_distinct(spark):
     """Two hundred one-letter addresses and numbers in a small range force collisions."""
     mails = [f"{c}{d}@x.org" for c in "abcdefghijklmnopqrst" for d in range(10)]
