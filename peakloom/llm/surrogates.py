@@ -5,11 +5,13 @@ numbers, and names. A name begins with a title, or with a given name of ``given_
 capitalised words after it, with hyphens, apostrophes, initials and particles (``de la``, ``van``). Only DataFrame
 functions are used.
 
-* Every mention has one or more identities, free of its spelling: lower case for an address, the last ten digits
-  after the country code for a phone number. Of a name, the last word is a surname, the first of several and every
+* Every mention has one or more identities, free of its spelling: lower case for an address (an IPv6 address with all
+  groups), no blanks for an account number, the last ten digits after country code and trunk zero for a phone number.
+  Of a name, the last word is a surname, the first of several and every
   further given name of the list are given names, all others surnames; parts joined by hyphens count one by one.
   All mentions of an identity get the same surrogate, written the way each mention is written (separators, country
-  code, capitals, title, particles, ``O'``); an initial becomes that of the new surname.
+  code, trunk zero, capitals, title, particles, ``O'``); an initial becomes that of the new surname, and a shortened
+  IPv6 address is replaced by a full one.
 * A surrogate is drawn from a keyed SHA-256 of identity and attempt. It keeps lengths, digits, letters and capitals;
   an address goes to a reserved domain, an IP address to a reserved range, a valid card number stays valid, a given
   name keeps gender and script.
@@ -24,6 +26,12 @@ titles that are not in ``TITLES`` or followed by a lower-case addition (``Dr. me
 has the gender of its title, so it counts as another one after ``Mrs`` than after ``Dr``. A run of capitalised words
 is taken whole even if its end is no name (``John Smith Avenue``).
 
+Of numbers, not detected are phone numbers without ``+`` other than 3-3-4 digits, ten digits in a row from 2 on, and
+ten or eleven digits with a trunk zero (and those if more digits follow, or if they look like a date); shortened IPv6
+without any digit; account numbers in groups of a country that is not in ``IBAN_LENGTHS`` or in other groups than
+four; social security numbers without hyphens; and cards in groups other than 4-4-4-4, 4-6-5 and 4-6-4 (of 19 digits
+in groups the last three stay). Any number of these shapes is replaced, whatever it means.
+
 Identities are counted before they move, so a mention in a third of all rows is one row of the check. Only rows with
 mentions are joined, by the MD5 of their text; the surrogates of a text are one small map. Other rows never move.
 
@@ -83,15 +91,37 @@ _particle = "(?:(?:v[ao]n|de)(?: (?:der|den|dem|la|las|los|het))?|del|della|di|d
 _word = f"(?!(?:{_title})(?!{_letter}))(?:\\p{{Lu}}['’])?\\p{{Lu}}{_letter}++(?:(?:['’]|-(?:\\p{{Lu}}['’])?)\\p{{Lu}}{_letter}++)*+"
 _step = f"(?:(?:(?:\\p{{Lu}}\\.){{1,4}}|\\p{{Lu}}) )*+(?:{_particle})?{_word}"
 _octet = "(?:25[0-5]|2[0-4]\\d|1\\d\\d|[1-9]?\\d)"
+_group = "[0-9A-Fa-f]{1,4}"
+# Eight groups, or seven at most with one ``::`` and any digit
+_ip6 = (
+    f"(?<![\\w:])(?:(?:{_group}:){{7}}{_group}|(?=[A-Fa-f:]*[0-9])(?=[0-9A-Fa-f:]*::)(?!(?:::)?(?:{_group}:++){{7}}{_group})"
+    f"(?:(?:{_group}(?::{_group}){{0,6}})?::{_group}(?::{_group}){{0,6}}|{_group}(?::{_group}){{0,6}}::))(?![\\w:]|\\.\\d)"
+)
+# Lengths of account numbers by country, for those in groups of four
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_grouped = "|".join(
+    f"(?:{'|'.join(c.split())})\\d{{2}}(?: [A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (f" [A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+    for n, c in IBAN_LENGTHS.items()
+)
+# Without plus: a trunk zero, in brackets or not, and ten or eleven digits in all, but no date; or ten digits in a row
+_national = (
+    "(?=[(]?0[1-9](?:[ .()/-]{0,2}\\d){8,9}(?![ .-]?\\d|\\w))(?!\\d{2}[./-]\\d{2}[./-](?:19|20)\\d{2}(?!\\d))"
+    "(?:(?:\\(0\\d{1,5}\\) ?|0\\d{1,5}[ ./-])\\d{2,8}(?:[ .-]\\d{2,8}){0,4}|0\\d{9,10})|[2-9]\\d{9}"
+)
 PATTERNS = {
     "email": "(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])",
-    "iban": "(?<!\\w)[A-Z]{2}\\d{2}[A-Z0-9]{11,30}(?!\\w)",
+    "iban": f"(?<!\\w)(?=[A-Z]{{2}}\\d{{2}})(?:[A-Z]{{2}}\\d{{2}}[A-Z0-9]{{11,30}}|{_grouped})(?!\\w)",
     "ip": f"(?<![\\w.])(?:{_octet}\\.){{3}}{_octet}(?!\\w|\\.\\d)",
-    "ip6": "(?<![\\w:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\\w:])",
+    "ip6": _ip6,
     "ssn": "(?<![\\w-])\\d{3}-\\d{2}-\\d{4}(?![\\w-])",
-    "phone": "(?<![\\w+])(?:\\+(?=(?:[ .()-]{0,2}\\d){8})\\d{1,3}[ .-]?(?:\\(\\d{1,4}\\)[ .-]?)?\\d{2,12}(?:[ .-]\\d{2,8}){0,4}"
-    "|(?:\\(\\d{3}\\) ?|\\d{3}[ .-])\\d{3}[ .-]\\d{4})(?!\\w)",
-    "card": "(?<![\\w.])(?:\\d{13,19}|\\d{4}(?:[ -]\\d{4}){3})(?!\\w)",
+    "card": "(?<![\\w.])(?:\\d{13,19}|\\d{4}(?:[ -]\\d{4}){3}|\\d{4}[ -]\\d{6}[ -]\\d{4,5})(?!\\w)",
+    "phone": "(?<![\\w+])(?:\\+(?=(?:[ .()-]{0,2}\\d){8})\\d{1,3}[ .-]?(?:\\(\\d{1,4}\\)[ .-]?)?\\d{1,12}(?:[ .-]\\d{2,8}){0,4}"
+    f"|(?:\\(\\d{{3}}\\) ?|\\d{{3}}[ .-])\\d{{3}}[ .-]\\d{{4}}|{_national})(?!\\w)",
     "name": f"(?=\\p{{Lu}})(?<!\\p{{L}})(?:(?:(?:{_title})\\.? )++{_step}"
     f"|{_given}(?!{_letter})(?:-\\p{{Lu}}{_letter}++)*+ {_step})(?: {_step})*+",
 }
@@ -189,17 +219,36 @@ def _name_identities(mention: Column) -> Column:
     return F.flatten(_with_parts(mention, use))
 
 
+def _eight_groups(address: Column) -> Column:
+    """A version 6 address in lower case with all its groups, without zeros before them."""
+
+    def groups(part: Column) -> Column:
+        return F.filter(F.split(part, ":"), lambda g: g != "")
+
+    left = groups(F.substring_index(address, "::", 1))
+    right = F.when(address.contains("::"), groups(F.substring_index(address, "::", -1))).otherwise(
+        F.array().cast("array<string>")
+    )
+    zeros = F.array_repeat(F.lit("0"), F.greatest(F.lit(8) - F.size(left) - F.size(right), F.lit(0)))
+    every = F.transform(F.concat(left, zeros, right), lambda g: F.regexp_replace(F.lower(g), "^0+(?=.)", ""))
+    return F.array_join(every, ":")
+
+
 def _identities(mention: Column) -> Column:
     """The identities behind a mention: several of a name, else one."""
     kind = _kind(mention)
     numbers = F.concat_ws(":", kind, _digits(mention))
     national = _digits(F.regexp_replace(mention, "^\\+\\d{1,3}(?=[ .(-])", ""))
+    national = F.regexp_replace(national, "^0+(?=\\d)", "")
     phone = F.concat(F.lit("phone:"), F.regexp_extract(national, "(\\d{1,10})$", 1))
     plain = F.concat_ws(":", kind, F.lower(mention))
+    account = F.concat_ws(":", kind, F.lower(F.regexp_replace(mention, " ", "")))
     return (
         F.when(kind == "name", _name_identities(mention))
         .when(kind == "phone", F.array(phone))
         .when(kind.isin("card", "ssn"), F.array(numbers))
+        .when(kind == "iban", F.array(account))
+        .when(kind == "ip6", F.array(F.concat_ws(":", kind, _eight_groups(mention))))
         .otherwise(F.array(plain))
     )
 
@@ -260,7 +309,8 @@ def _draw(identity: Column, attempt: Column, key: str) -> Column:
     first = low + F.pmod(octets[0], F.lit(254) - low + 1)
     ip = F.concat_ws(".", first.cast("string"), *[o.cast("string") for o in octets[1:]])
     ip6 = F.concat(
-        F.lit("2001:db8"), *[F.concat(F.lit(":"), F.substring(stream, 4 * i + 1, 4)) for i in range(6)]
+        F.lit("2001:db8"),
+        *[F.concat(F.lit(":"), F.regexp_replace(F.substring(stream, 4 * i + 1, 4), "^0", "f")) for i in range(6)],
     )
     drawn = _alike(value, stream)
     phone = F.concat((_byte(stream, F.lit(31)) % 8 + 2).cast("string"), F.substring(drawn, 2, 40))
@@ -365,9 +415,11 @@ def _rendered(mention: Column, surrogates: Column) -> Column:
     ids = _identities(mention)
     found = F.element_at(surrogates, F.element_at(ids, 1))
     upper = (mention == F.upper(mention)) & mention.rlike("\\p{Lu}\\P{Ll}*\\p{Lu}")
+    grouped = F.regexp_replace(F.upper(found), "(.{4})(?=.)", "$1 ")
     return (
         F.when(kind == "name", _rendered_name(mention, surrogates))
         .when(kind.isin("phone", "card", "ssn"), _filled(mention, found))
+        .when((kind == "iban") & mention.contains(" "), grouped)
         .when(kind.isin("email", "ip6", "iban") & upper, F.upper(found))
         .otherwise(found)
     )

@@ -67,6 +67,30 @@ def test_names_beyond_the_surrogates(spark):
     assert not set(real) & set(re.findall(r"\w+", " ".join(out[:5])))
 
 
+def test_other_forms_of_numbers(spark):
+    texts = [
+        "2001:db8::8a2e:370:7334 = 2001:0DB8:0:0:0:8a2e:370:7334; ::1, 1:2:3:4:5::6:7; ::ffff:192.168.0.1",
+        "DE89 3704 0044 0532 0130 00 EUR, DE89370400440532013000; NO93 8601 1117 947; FR14 2004 1010 0505 0001 3M02 606",
+        "3782 822463 10005, 378282246310005; 3056-930902-5904",
+        "020 7946 0958, +44 20 7946 0958, (020) 7946 0958; 06 12 34 56 78, +33 6 12 34 56 78, 0612345678; 5551234567, 555-123-4567",
+        "std::vector a::b 12:30:45 1::2::3 01.02.2024 10:30 01-02-2024 10 1712345678 AB12 THIS WORD",
+    ]
+    out, counts = _run(spark, texts)
+    assert counts == [5, 4, 3, 8, 0] and out[4] == texts[4]
+    full = "2001:db8(?::[0-9a-f]{4}){6}"
+    assert re.fullmatch(rf"({full}) = \1; {full}, {full}; ::ffff:2[45]\d\.\d+\.\d+\.\d+", out[0])
+    one, two, norway, france = re.split("[,;] ", out[1])
+    assert one == re.sub("(.{4})(?=.)", r"\1 ", two) + " EUR" and two != "DE89370400440532013000"
+    assert re.fullmatch(r"NO\d\d \d{4} \d{4} \d{3}", norway) and re.fullmatch(r"FR\d\d( \d{4}){4} \d[A-Z]\d\d \d{3}", france)
+    grouped, plain, other = re.split("[,;] ", out[2])
+    assert re.fullmatch(r"\d{4} \d{6} \d{5}", grouped) and grouped.replace(" ", "") == plain != "378282246310005"
+    assert re.fullmatch(r"\d{4}-\d{6}-\d{4}", other) and other != "3056-930902-5904"
+    assert [re.sub(r"\d", "9", t) for t in out] == [re.sub(r"\d", "9", t) for t in (*out[:3], texts[3], texts[4])]
+    for group in out[3].split("; "):
+        assert len({re.sub(r"^(\+(44|33)|0)", "", re.sub(r"[^\d+]", "", n)) for n in group.split(", ")}) == 1
+    assert not set(re.split("[,;] ", out[3])) & set(re.split("[,;] ", texts[3]))
+
+
 def test_surrogate_names_do_not_run_out(spark):
     """Late attempts draw from more names than four of six make."""
     given = F.concat(F.lit("given:f:greek:"), F.col("id").cast("string"))
