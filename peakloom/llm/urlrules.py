@@ -5,7 +5,9 @@ rule's or a subdomain of it and its path begins with the rule's; the longest one
 
 URLs with a verdict from the list are the labelled ones. Their tokens (the last four host labels, first directory,
 file ending, first query key) and the verdict make transactions; FP-growth finds the frequent combinations. Rules
-from tokens to a verdict of enough confidence and support judge all other URLs, the most confident first.
+from tokens to a verdict of enough confidence and support judge all other URLs, the most confident first. The support
+is a share of the labelled rows (2%), so the floor grows with the table: a combination with a verdict in fewer rows
+makes no rule, and URLs that fit no other rule get the default.
 
 Both kinds of rules are matched by an inverted index: a given rule by its host, a mined one by its rarest token. A
 URL is judged once, however many rows have it, so a hot host or URL is counted, not gathered. Nothing is broadcast.
