@@ -102,7 +102,7 @@ class TokenRollup:
         self._signed(changes).write.parquet(f"{self.path}/ledger/{folder}")
         signed = self.spark.read.parquet(f"{self.path}/ledger/{folder}")
         sums = signed.groupBy(*GROUP).agg(F.sum("docs").alias("n_docs"), F.sum("tokens").alias("n_tokens"))
-        sums.coalesce(1).write.parquet(f"{self.path}/totals/{folder}")  # one row a group
+        sums.write.parquet(f"{self.path}/totals/{folder}")  # one row a group, small partitions are merged by re-planning
         return self._record(name, folder)
 
     def _record(self, name: str, folder: str) -> bool:

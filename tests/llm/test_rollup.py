@@ -67,3 +67,21 @@ def test_counts(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [tuple(r) for r in df.select(word_count(F.col("t")), byte_count(F.col("t"))).collect()]
     assert got == [(0, 0), (0, 0), (0, 2), (1, 1), (2, 5), (4, 14), (30_000, 150_000)]
+
+
+def test_many_sources_are_summed_in_several_tasks(spark):
+    store = TokenRollup(spark, f"{Scratch(spark).root}/rollup")
+    text = F.col("id").cast("string")
+    rows = spark.range(500).select(
+        F.col("id").alias("doc_id"), F.lit("a").alias("tokenizer"), F.concat(F.lit("host"), text).alias("source"),
+        F.lit("en").alias("lang"), F.lit("insert").alias("change"), F.lit(1).alias("tokens"), F.lit(0).alias("seq"),
+    )
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        assert store.commit("one", rows)
+    finally:
+        spark.conf.set(name, before)
+    files = spark.read.parquet(f"{store.path}/totals/*").select(F.input_file_name()).distinct().count()
+    assert files > 1 and store.totals().count() == 500
