@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peakloom.llm import bpe, chat, decontaminate, licences, neardup, quality, rollup, sketch, surrogates, urlrules
+from peakloom.llm import bpe, chat, codes, decontaminate, licences, manifest, neardup, quality, rollup, sketch, surrogates, topk, urlrules
 from peakloom.session import Scratch
 
 QUERIES = {}
@@ -338,3 +338,142 @@ def op5_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     store.commit("lines", rollup.counts(revised, {"words-1": F.col("words_once"), "bytes-1": F.col("bytes_once")}, change="revise"))
     store.commit("load", load)
     return store.totals()
+
+
+_WHOLE_SQL = """
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+
+@query(f"""
+WITH rows AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e {_WHOLE_SQL}
+),
+scored AS (
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, coalesce(list_sum(list_transform(
+    range(1, least(len(q.e), len(c.e)) + 1), lambda i: q.e[i] * c.e[i])), 0)::BIGINT AS score
+  FROM rows q JOIN rows c ON q.r <> c.r WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, (row_number() OVER best)::INTEGER AS rank, vec_id, score FROM scored
+WINDOW best AS (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST) QUALIFY row_number() OVER best <= 10
+""")
+def op11_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), asked=F.col("vec_id") % 100 == 0, k=10, scale=1024)
+
+
+_MERKLE_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def _leaf_sql(**changed: str) -> str:
+    parts = []
+    for name in _MERKLE_FIELDS:
+        value = f"({changed.get(name, name)})::VARCHAR"
+        parts.append(f"coalesce(strlen({value})::VARCHAR || ':' || {value}, '-')")
+    return f"sha256({' || '.join(parts)})"
+
+
+def _levels_sql(tree: str, leaves: str) -> str:
+    """All nodes of the trees over ``leaves`` (tree, i, d), level by level."""
+    return f"""{tree}(tree, level, i, d, n) AS (
+  SELECT tree, 0, i, d, count(*) OVER (PARTITION BY tree) FROM {leaves}
+  UNION ALL
+  SELECT tree, level + 1, i // 2, sha256(string_agg(d, '' ORDER BY i)), (n + 1) // 2 FROM {tree} WHERE n > 1
+  GROUP BY tree, level, i // 2, n
+)"""
+
+
+# CRC-32 of the decimal text, bit by bit
+_CRC_SQL = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+  lambda s, b: list_reduce([xor(s, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295)"""
+
+
+@query(f"""
+WITH RECURSIVE docs AS (
+  SELECT *, coalesce('1' || lang, '0') AS tree, {_leaf_sql()} AS leaf,
+    CASE WHEN {_CRC_SQL} % 7 = 0 THEN {_leaf_sql(n_chars="n_chars + 1")} END AS changed FROM documents
+),
+numbered AS (
+  SELECT doc_id, tree, leaf, coalesce(changed, leaf) AS held,
+    row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM docs
+),
+leaves AS (SELECT tree, i, leaf AS d FROM numbered),
+{_levels_sql("nodes", "leaves")},
+subroots AS (SELECT tree AS name, d AS subroot, row_number() OVER (ORDER BY tree) - 1 AS i, '' AS tree, d FROM nodes WHERE n = 1),
+{_levels_sql("above", "subroots")},
+tops AS (SELECT tree, max(level) AS top FROM nodes GROUP BY tree),
+steps AS (
+  SELECT m.tree AS name, m.i AS leaf_i, l.level, (m.i >> l.level) % 2 AS side, s.d AS sibling
+  FROM numbered m JOIN tops USING (tree) JOIN LATERAL (SELECT unnest(range(0, top)) AS level) l ON true
+  LEFT JOIN nodes s ON s.tree = m.tree AND s.level = l.level AND s.i = xor(m.i >> l.level, 1)
+  UNION ALL
+  SELECT m.tree, m.i, top + l.level, (b.i >> l.level) % 2, s.d
+  FROM numbered m JOIN tops USING (tree) JOIN subroots b ON b.name = m.tree
+  JOIN LATERAL (SELECT unnest(range(0, (SELECT max(level) FROM above))) AS level) l ON true
+  LEFT JOIN above s ON s.level = l.level AND s.i = xor(b.i >> l.level, 1)
+),
+folded(name, leaf_i, level, d) AS (
+  SELECT tree, i, 0, held FROM numbered
+  UNION ALL
+  SELECT f.name, f.leaf_i, f.level + 1, sha256(CASE WHEN s.side = 1 THEN s.sibling || f.d ELSE f.d || coalesce(s.sibling, '') END)
+  FROM folded f JOIN steps s ON s.name = f.name AND s.leaf_i = f.leaf_i AND s.level = f.level
+),
+proofs AS (SELECT name, leaf_i, string_agg(sibling, '' ORDER BY level) AS siblings FROM steps GROUP BY name, leaf_i),
+ends AS (SELECT name, leaf_i, arg_max(d, level) AS folded_root FROM folded GROUP BY name, leaf_i)
+SELECT doc_id, leaf, subroot, (SELECT d FROM above WHERE n = 1) AS root, sha256(coalesce(siblings, '')) AS proof_sha256,
+  folded_root, folded_root = (SELECT d FROM above WHERE n = 1) AS verified
+FROM numbered m JOIN subroots b ON b.name = m.tree JOIN ends e ON e.name = m.tree AND e.leaf_i = m.i
+LEFT JOIN proofs p ON p.name = m.tree AND p.leaf_i = m.i
+""")
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark)
+    docs = table(spark, sf_dir, "documents")
+    fields = {name: F.col(name) for name in _MERKLE_FIELDS}
+    leaf = manifest.leaf_digest(*fields.values())
+    more = manifest.leaf_digest(*(fields | {"n_chars": F.col("n_chars").cast("decimal(20,0)") + 1}).values())
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, more)
+    built = manifest.build(docs, F.col("lang"), F.col("doc_id"), leaf, tampered, scratch=scratch)
+    found = manifest.proofs(built, scratch)
+    return found.select(F.col("key").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def _rounds_sql(rounds: int) -> str:
+    out = []
+    for r in range(rounds + 1):
+        out.append(f"""a{r} AS MATERIALIZED (
+  SELECT r, p, arg_min(k, (dist, k)) AS k, min(dist) AS dist FROM (
+    SELECT x.r, p, k, list_sum(list_transform(list_zip(x.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS dist
+    FROM parts x JOIN b{r} b USING (p)) GROUP BY r, p)""")
+        if r < rounds:
+            out.append(f"""b{r + 1} AS MATERIALIZED (
+  SELECT p, k, coalesce(n.v, b{r}.v) AS v FROM b{r} LEFT JOIN (
+    SELECT p, k, list(m ORDER BY j) AS v FROM (
+      SELECT p, k, j, floor(sum(v[j])::DOUBLE / count(*))::BIGINT AS m
+      FROM a{r} JOIN parts USING (r, p), LATERAL (SELECT unnest(range(1, len(v) + 1)) AS j) GROUP BY p, k, j
+    ) GROUP BY p, k) n USING (p, k))""")
+    return ",\n".join(out)
+
+
+@query(f"""
+WITH rows AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label,
+    list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e {_WHOLE_SQL}
+),
+parts AS MATERIALIZED (
+  SELECT r, p, e[p * (len(e) // 4) + 1:(p + 1) * (len(e) // 4)] AS v FROM rows, LATERAL (SELECT unnest(range(0, 4)) AS p)
+),
+b0 AS (SELECT p, r - 1 AS k, v FROM parts WHERE r <= 256),
+{_rounds_sql(4)},
+coded AS (
+  SELECT r, string_agg(printf('%02x', k), '' ORDER BY p) AS code, sum(dist)::BIGINT AS error FROM a4 GROUP BY r
+),
+sha AS (
+  SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, k)) AS codebooks_sha256 FROM b4
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM rows JOIN coded USING (r), sha
+""")
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark)
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    coded, books = codes.compress(vectors, parts=4, entries=256, rounds=4, scale=1024, scratch=scratch)
+    summed = codes.with_group_error(coded, "label", "label_error", scratch)
+    return summed.select("vec_id", "code", "error", "label_error", F.lit(codes.digest(books)).alias("codebooks_sha256"))
