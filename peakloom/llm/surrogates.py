@@ -41,9 +41,10 @@ results; other columns pass through unchanged, ``n_chars`` follows the text.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from peakloom.llm.columns import unused, without
 from peakloom.llm.given_names import NAMES
 from peakloom.session import Scratch
 
@@ -67,6 +68,8 @@ SYLLABLES = {
     "greek": ["βα", "γο", "δα", "κο", "λα", "μα", "νι", "πα", "ρο", "σα", "το", "φι"],
 }
 
+_LETTERS = {"cyrillic": "абвгдежзийклмнопрстуфхцчшщъыьэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
+
 # Detected are the surrogates' names and the far longer list.
 LISTED = {g: NAMES[g] | {n for k, names in GIVEN.items() if k[0] == g for n in names} for g in NAMES}
 
@@ -92,6 +95,7 @@ _word = f"(?!(?:{_title})(?!{_letter}))(?:\\p{{Lu}}['’])?\\p{{Lu}}{_letter}++(
 _step = f"(?:(?:(?:\\p{{Lu}}\\.){{1,4}}|\\p{{Lu}}) )*+(?:{_particle})?{_word}"
 _octet = "(?:25[0-5]|2[0-4]\\d|1\\d\\d|[1-9]?\\d)"
 _group = "[0-9A-Fa-f]{1,4}"
+_mail, _host = "[\\p{L}\\p{M}\\p{Nd}._%+-]", "[\\p{L}\\p{M}\\p{Nd}-]"
 # Eight groups, or seven at most with one ``::`` and any digit
 _ip6 = (
     f"(?<![\\w:])(?:(?:{_group}:){{7}}{_group}|(?=[A-Fa-f:]*[0-9])(?=[0-9A-Fa-f:]*::)(?!(?:::)?(?:{_group}:++){{7}}{_group})"
@@ -114,9 +118,9 @@ _national = (
     "(?:(?:\\(0\\d{1,5}\\) ?|0\\d{1,5}[ ./-])\\d{2,8}(?:[ .-]\\d{2,8}){0,4}|0\\d{9,10})|[2-9]\\d{9}"
 )
 PATTERNS = {
-    "email": "(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])",
+    "email": f"(?<!{_mail})(?:{_mail}){{1,64}}+@(?:(?:{_host}){{1,63}}\\.){{1,8}}\\p{{L}}{{2,24}}(?!{_host})",
     "iban": f"(?<!\\w)(?=[A-Z]{{2}}\\d{{2}})(?:[A-Z]{{2}}\\d{{2}}[A-Z0-9]{{11,30}}|{_grouped})(?!\\w)",
-    "ip": f"(?<![\\w.])(?:{_octet}\\.){{3}}{_octet}(?!\\w|\\.\\d)",
+    "ip": f"(?<![\\w.])(?<!(?i:version|release|build|firmware)[ :]{{1,2}})(?<!(?i:ver)\\.? )(?:{_octet}\\.){{3}}{_octet}(?!\\w|\\.\\d)",
     "ip6": _ip6,
     "ssn": "(?<![\\w-])\\d{3}-\\d{2}-\\d{4}(?![\\w-])",
     "card": "(?<![\\w.])(?:\\d{13,19}|\\d{4}(?:[ -]\\d{4}){3}|\\d{4}[ -]\\d{6}[ -]\\d{4,5})(?!\\w)",
@@ -167,24 +171,6 @@ def _first(name: Column) -> Column:
     return F.substring_index(F.lower(name), "-", 1)
 
 
-def _in_list(name: Column, genders: str = "fmn") -> Column:
-    return _first(name).isin(sorted({n.lower() for g in genders for n in LISTED[g]}))
-
-
-def _gender(given: Column, title: Column) -> Column:
-    """By the given name, else by the title, else unknown."""
-    out = F.when(_in_list(given, "f"), "f").when(_in_list(given, "m"), "m")
-    return out.when(title.isin(TITLES["f"]), "f").when(title.isin(TITLES["m"]), "m").otherwise("n")
-
-
-def _with_parts(mention: Column, use) -> Column:
-    """``use`` of the titles and the words of a name, both evaluated once."""
-    titles = F.regexp_extract(mention, f"^(?:(?:{_title})\\.? )+", 0)
-    words = F.split(mention.substr(F.length(titles) + 1, F.length(mention)), " ")
-    parts = F.array(F.struct(titles.alias("titles"), words.alias("words")))
-    return F.get(F.transform(parts, lambda p: use(p["titles"], p["words"])), 0)
-
-
 def _is_name(word: Column) -> Column:
     """Whether a word of a name is neither particle nor initial."""
     return word.rlike(f"^(?:\\p{{Lu}}['’])?\\p{{Lu}}{_letter}")
@@ -195,28 +181,36 @@ def _core(part: Column) -> Column:
     return F.regexp_replace(part, "^\\p{Lu}['’](?=\\p{Lu})", "")
 
 
-def _part_identities(word: Column, i: Column, words: Column, titles: Column) -> Column:
-    """One identity for each part of a word that is joined by hyphens."""
-    title = F.regexp_extract(titles, f"^({_title})", 1)
-    is_given = (i < F.size(words) - 1) & ((i == 0) | _in_list(word))
-    gender = _gender(word, title)
-
-    def one(part: Column) -> Column:
-        name = F.lower(_core(part))
-        return F.when(is_given, F.concat_ws(":", F.lit("given"), gender, _script(_core(part)), name)).otherwise(
-            F.concat_ws(":", F.lit("surname"), _script(_core(part)), name)
-        )
-
-    return F.transform(F.split(word, "-"), one)
-
-
-def _name_identities(mention: Column) -> Column:
-    none = F.array().cast("array<string>")
-
-    def use(titles: Column, words: Column) -> Column:
-        return F.transform(words, lambda w, i: F.when(_is_name(w), _part_identities(w, i, words, titles)).otherwise(none))
-
-    return F.flatten(_with_parts(mention, use))
+def _given_table(spark: SparkSession, scratch: Scratch) -> DataFrame:
+    """(first, listed) of every given name in lower case, written, so that the planner knows it is small."""
+    gender: dict[str, str] = {}
+    for g in "nmf":  # a name of several genders counts as the last of them
+        gender |= dict.fromkeys((n.lower() for n in LISTED[g]), g)
+    return scratch.save(spark.createDataFrame(sorted(gender.items()), "first string, listed string"), "given")
+
+
+def _name_parts(names: DataFrame, given: DataFrame) -> DataFrame:
+    """Names (m) to one row for each part of a word that is joined by hyphens: (m, titles, i, k, part, identity).
+
+    Particles and initials have no identity.
+    """
+    titled = names.select("m", F.regexp_extract("m", f"^(?:(?:{_title})\\.? )+", 0).alias("titles"))
+    words = titled.select("m", "titles", F.split(F.col("m").substr(F.length("titles") + 1, F.length("m")), " ").alias("words"))
+    words = words.select("m", "titles", F.size("words").alias("n"), F.posexplode("words").alias("i", "word"))
+    words = words.withColumn("first", _first(F.col("word"))).join(given, "first", "left")
+    title = F.regexp_extract("titles", f"^({_title})", 1)
+    gender = F.when(F.col("listed").isin("f", "m"), F.col("listed")).when(title.isin(TITLES["f"]), "f").when(title.isin(TITLES["m"]), "m")
+    is_given = (F.col("i") < F.col("n") - 1) & ((F.col("i") == 0) | F.col("listed").isNotNull())
+    whole = F.when(_is_name(F.col("word")), F.split("word", "-")).otherwise(F.array("word"))
+    parts = words.select(
+        "m", "titles", "i", F.coalesce(gender, F.lit("n")).alias("gender"), is_given.alias("is_given"),
+        _is_name(F.col("word")).alias("named"), F.posexplode(whole).alias("k", "part"),
+    )
+    core = _core(F.col("part"))
+    given_name = F.concat_ws(":", F.lit("given"), "gender", _script(core), F.lower(core))
+    surname = F.concat_ws(":", F.lit("surname"), _script(core), F.lower(core))
+    identity = F.when(F.col("named"), F.when(F.col("is_given"), given_name).otherwise(surname))
+    return parts.select("m", "titles", "i", "k", "part", identity.alias("identity"))
 
 
 def _eight_groups(address: Column) -> Column:
@@ -234,23 +228,32 @@ def _eight_groups(address: Column) -> Column:
     return F.array_join(every, ":")
 
 
-def _identities(mention: Column) -> Column:
-    """The identities behind a mention: several of a name, else one."""
-    kind = _kind(mention)
-    numbers = F.concat_ws(":", kind, _digits(mention))
+def _identity(mention: Column, kind: Column) -> Column:
+    """The identity behind a mention that is no name; null if its check sum says that it is none of its kind."""
+    digits = _digits(mention)
     national = _digits(F.regexp_replace(mention, "^\\+\\d{1,3}(?=[ .(-])", ""))
     national = F.regexp_replace(national, "^0+(?=\\d)", "")
-    phone = F.concat(F.lit("phone:"), F.regexp_extract(national, "(\\d{1,10})$", 1))
-    plain = F.concat_ws(":", kind, F.lower(mention))
-    account = F.concat_ws(":", kind, F.lower(F.regexp_replace(mention, " ", "")))
-    return (
-        F.when(kind == "name", _name_identities(mention))
-        .when(kind == "phone", F.array(phone))
-        .when(kind.isin("card", "ssn"), F.array(numbers))
-        .when(kind == "iban", F.array(account))
-        .when(kind == "ip6", F.array(F.concat_ws(":", kind, _eight_groups(mention))))
-        .otherwise(F.array(plain))
+    account = F.lower(F.regexp_replace(mention, " ", ""))
+    value = (
+        F.when(kind == "phone", F.regexp_extract(national, "(\\d{1,10})$", 1))
+        .when(kind == "card", F.when(_luhn(digits) % 10 == 0, digits))
+        .when(kind == "ssn", digits)
+        .when(kind == "iban", F.when(_mod97(account) == 1, account))
+        .when(kind == "ip6", _eight_groups(mention))
+        .otherwise(F.lower(mention))
     )
+    return F.when(value.isNotNull(), F.concat_ws(":", kind, value))
+
+
+def _mod97(account: Column) -> Column:
+    """Check sum of an account number in lower case: 1 if it is valid."""
+    turned = F.concat(F.substring(account, 5, 40), F.substring(account, 1, 4))
+
+    def step(rest: Column, c: Column) -> Column:
+        value = F.instr(F.lit("0123456789abcdefghijklmnopqrstuvwxyz"), c) - 1
+        return F.pmod(rest * F.when(value > 9, 100).otherwise(10) + value, F.lit(97))
+
+    return F.aggregate(_characters(turned), F.lit(0), step)
 
 
 def _byte(stream: Column, i: Column) -> Column:
@@ -271,6 +274,9 @@ def _alike(value: Column, stream: Column) -> Column:
             F.when(c.rlike("[0-9]"), (b % 10).cast("string"))
             .when(c.rlike("[a-z]"), F.char(b % 26 + 97))
             .when(c.rlike("[A-Z]"), F.char(b % 26 + 65))
+            .when(c.rlike("\\p{IsCyrillic}"), F.substring(F.lit(_LETTERS["cyrillic"]), b % 32 + 1, F.lit(1)))
+            .when(c.rlike("\\p{IsGreek}"), F.substring(F.lit(_LETTERS["greek"]), b % 24 + 1, F.lit(1)))
+            .when(c.rlike("\\p{L}"), F.char(b % 26 + 97))
             .otherwise(c)
         )
 
@@ -305,9 +311,7 @@ def _draw(identity: Column, attempt: Column, key: str) -> Column:
         F.substring_index(domain, ".", -1),
     )
     octets = [_byte(stream, F.lit(i)) for i in range(4)]
-    low = F.when(attempt > 2, F.lit(1)).otherwise(F.lit(240))
-    first = low + F.pmod(octets[0], F.lit(254) - low + 1)
-    ip = F.concat_ws(".", first.cast("string"), *[o.cast("string") for o in octets[1:]])
+    ip = F.concat_ws(".", (octets[0] % 16 + 240).cast("string"), *[o.cast("string") for o in octets[1:]])
     ip6 = F.concat(
         F.lit("2001:db8"),
         *[F.concat(F.lit(":"), F.regexp_replace(F.substring(stream, 4 * i + 1, 4), "^0", "f")) for i in range(6)],
@@ -317,8 +321,10 @@ def _draw(identity: Column, attempt: Column, key: str) -> Column:
     card = F.concat(F.substring(value, 1, 1), F.substring(drawn, 2, 40))
     open_card = F.concat(card.substr(F.lit(1), F.length(card) - 1), F.lit("0"))
     check = F.pmod(-_luhn(open_card), F.lit(10)).cast("string")
-    card = F.when(_luhn(value) % 10 == 0, F.concat(card.substr(F.lit(1), F.length(card) - 1), check)).otherwise(card)
-    iban = F.concat(F.substring(value, 1, 2), F.substring(drawn, 3, 40))
+    card = F.concat(card.substr(F.lit(1), F.length(card) - 1), check)
+    country, account = F.substring(value, 1, 2), F.substring(drawn, 5, 40)
+    checked = F.lpad((98 - _mod97(F.concat(country, F.lit("00"), account))).cast("string"), 2, "0")
+    iban = F.concat(country, checked, account)
     return (
         F.when(kind == "email", email)
         .when(kind == "ip", ip)
@@ -383,48 +389,56 @@ def _filled(mention: Column, digits: Column) -> Column:
     return F.array_join(F.transform(_characters(mention), one), "")
 
 
-def _rendered_name(mention: Column, surrogates: Column) -> Column:
-    def surrogate(identity: Column) -> Column:
-        return F.substring_index(F.element_at(surrogates, identity), ":", -1)
-
-    def use(titles: Column, words: Column) -> Column:
-        last = F.size(words) - 1
-
-        def word(w: Column, i: Column) -> Column:
-            ids = _part_identities(w, i, words, titles)
-
-            def part(p: Column, k: Column) -> Column:
-                new = surrogate(F.get(ids, k))
-                capitals = (p == F.upper(p)) & (F.length(_core(p)) > 1)
-                before = F.substring(p, F.lit(1), F.length(p) - F.length(_core(p)))
-                return F.concat(before, F.when(capitals, F.upper(new)).otherwise(_capital(new)))
-
-            surname = surrogate(F.element_at(_part_identities(F.get(words, last), last, words, titles), -1))
-            initial = F.regexp_replace(w, F.lit("\\p{Lu}"), F.upper(F.substring(surname, 1, 1)))
-            named = F.array_join(F.transform(F.split(w, "-"), part), "-")
-            return F.when(_is_name(w), named).when(w.rlike("^\\p{Lu}"), initial).otherwise(w)
+def _rendered_names(parts: DataFrame) -> DataFrame:
+    """(m, r) of names whose parts (m, titles, i, k, part) have their surrogate: words and hyphens put together."""
+    new = F.substring_index("surrogate", ":", -1)
+    listed = parts.select("m", "titles", F.struct("i", "k", "part", new.alias("new")).alias("p"))
+    names = listed.groupBy("m", "titles").agg(F.sort_array(F.collect_list("p")).alias("parts"))
+    surname = F.upper(F.substring(F.element_at("parts", -1)["new"], 1, 1))
 
-        return F.concat(titles, F.array_join(F.transform(words, word), " "))
+    def one(p: Column) -> Column:
+        part, new = p["part"], p["new"]
+        core = _core(part)
+        capitals = (part == F.upper(part)) & (F.length(core) > 1)
+        before = F.substring(part, F.lit(1), F.length(part) - F.length(core))
+        named = F.concat(before, F.when(capitals, F.upper(new)).otherwise(_capital(new)))
+        initial = F.regexp_replace(part, F.lit("\\p{Lu}"), F.col("surname"))
+        text = F.when(new.isNotNull(), named).when(part.rlike("^\\p{Lu}"), initial).otherwise(part)
+        return F.concat(F.when(p["k"] > 0, "-").when(p["i"] > 0, " ").otherwise(""), text)
 
-    return _with_parts(mention, use)
+    names = names.withColumn("surname", surname)
+    return names.select("m", F.concat("titles", F.array_join(F.transform("parts", one), "")).alias("r"))
 
 
-def _rendered(mention: Column, surrogates: Column) -> Column:
-    """A mention's replacement, from the map of its text's identities."""
-    kind = _kind(mention)
-    ids = _identities(mention)
-    found = F.element_at(surrogates, F.element_at(ids, 1))
+def _rendered(mention: Column, kind: Column, found: Column) -> Column:
+    """The surrogate of a mention that is no name, written as the mention is."""
     upper = (mention == F.upper(mention)) & mention.rlike("\\p{Lu}\\P{Ll}*\\p{Lu}")
     grouped = F.regexp_replace(F.upper(found), "(.{4})(?=.)", "$1 ")
     return (
-        F.when(kind == "name", _rendered_name(mention, surrogates))
-        .when(kind.isin("phone", "card", "ssn"), _filled(mention, found))
+        F.when(kind.isin("phone", "card", "ssn"), _filled(mention, found))
         .when((kind == "iban") & mention.contains(" "), grouped)
         .when(kind.isin("email", "ip6", "iban") & upper, F.upper(found))
         .otherwise(found)
     )
 
 
+def _replacements(mentions: DataFrame, key: str, scratch: Scratch) -> DataFrame:
+    """(m, r) of distinct mentions (m); those whose check sum fails have no row.
+
+    Every step is written, so that none is repeated inside another and plans stay small.
+    """
+    typed = scratch.save(mentions.select("m", _kind(F.col("m")).alias("kind")), "typed")
+    given = _given_table(mentions.sparkSession, scratch)
+    parts = scratch.save(_name_parts(typed.where("kind = 'name'").select("m"), given), "parts")
+    others = typed.where("kind <> 'name'").select("m", "kind", _identity(F.col("m"), F.col("kind")).alias("identity"))
+    others = scratch.save(others.where(F.col("identity").isNotNull()), "others")
+    every = parts.where(F.col("identity").isNotNull()).select("identity").unionAll(others.select("identity"))
+    drawn = _surrogates(scratch.save(every.distinct(), "distinct"), key, scratch)
+    names = _rendered_names(parts.join(drawn, "identity", "left"))
+    rest = others.join(drawn, "identity").select("m", _rendered(F.col("m"), F.col("kind"), F.col("surrogate")).alias("r"))
+    return scratch.save(names.unionAll(rest), "rendered")
+
+
 def _surrogates(identities: DataFrame, key: str, scratch: Scratch) -> DataFrame:
     """(identity, surrogate) of distinct identities, all surrogates distinct and none a real identity."""
     kind = F.substring_index("identity", ":", 1)
@@ -446,30 +460,48 @@ def _surrogates(identities: DataFrame, key: str, scratch: Scratch) -> DataFrame:
             raise RuntimeError("surrogates stay short of identities; widen their ranges")
 
 
+# Mentions are put between marks of the private use area; what of it stands in a text is escaped.
+_ESCAPE, _MARK = "\ue000", "\ue001"
+_ESCAPES = [(_ESCAPE, _ESCAPE + "\ue003"), (_MARK, _ESCAPE + "\ue002")]
+
+
+def _pieces(text: Column) -> Column:
+    """A text cut before and after each mention: what lies between mentions at even places, mentions at odd ones."""
+    for c, escaped in _ESCAPES:
+        text = F.replace(text, F.lit(c), F.lit(escaped))
+    return F.split(F.regexp_replace(text, ANY, f"{_MARK}$0{_MARK}"), _MARK, -1)
+
+
+def _plain(piece: Column) -> Column:
+    for c, escaped in reversed(_ESCAPES):
+        piece = F.replace(piece, F.lit(escaped), F.lit(c))
+    return piece
+
+
 def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``docs`` with every mention of personal data in ``text`` replaced; ``n_mentions`` counts them."""
     scratch = Scratch(docs.sparkSession)
-    mentions = F.regexp_extract_all(F.col(text), F.lit(ANY), F.lit(0))
-    hit = has_mention(F.col(text))
-    some = docs.where(hit)
-    listed = some.select(F.md5(F.col(text).cast("binary")).alias("__key"), F.explode(F.array_distinct(mentions)).alias("m"))
-    listed = listed.select("__key", F.explode(_identities(F.col("m"))).alias("identity")).distinct()
-    listed = scratch.save(listed, "identities")
-    identities = scratch.save(listed.select("identity").distinct(), "distinct")
-    pairs = listed.join(_surrogates(identities, key, scratch), "identity")
-    maps = pairs.groupBy("__key").agg(
-        F.map_from_entries(F.collect_list(F.struct("identity", "surrogate"))).alias("__map")
-    )
-    maps = scratch.save(maps, "maps")
-    found = some.withColumn("__key", F.md5(F.col(text).cast("binary"))).join(maps, "__key").withColumn("__m", mentions)
-    gaps = F.split(F.col(text), ANY, -1)
-    rendered = F.transform("__m", lambda m: _rendered(m, F.col("__map")))
-    found = found.withColumn("__r", rendered)
-    replaced = F.array_join(F.zip_with(gaps, "__r", lambda g, r: F.concat(g, F.coalesce(r, F.lit("")))), "")
+    docs = without(docs, "n_mentions")
     names = docs.columns
-    new = {text: replaced}
-    if "n_chars" in names:
-        new["n_chars"] = F.length(replaced).cast(docs.schema["n_chars"].dataType)
-    found = found.select(*[new[c].alias(c) if c in new else F.col(c) for c in names], F.size("__m").cast("long").alias("n_mentions"))
+    row, pieces, made, new = unused(docs, "row", "pieces", "made", "new")
+    hit = has_mention(F.col(text))
+    others = [c for c in names if c.lower() != text.lower()]
+    found = docs.where(hit).select(*others, F.md5(F.col(text).cast("binary")).alias(row), _pieces(F.col(text)).alias(pieces))
+    found = scratch.save(found, "found")
+    mentions = F.array_distinct(F.filter(pieces, lambda _, i: i % 2 == 1))
+    pairs = scratch.save(found.select(F.col(row).alias("row"), F.explode(mentions).alias("m")).distinct(), "pairs")
+    rendered = _replacements(pairs.select("m").distinct(), key, scratch)
+    maps = pairs.join(rendered, "m").groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("m", "r"))).alias(made))
+    maps = scratch.save(maps.withColumnRenamed("row", row), "maps")
+
+    def one(piece: Column, i: Column) -> Column:
+        return F.when(i % 2 == 1, F.coalesce(F.element_at(made, piece), piece)).otherwise(_plain(piece))
+
+    count = F.size(F.filter(pieces, lambda p, i: (i % 2 == 1) & F.coalesce(F.map_contains_key(made, p), F.lit(False))))
+    done = found.join(maps, row, "left").withColumn(new, F.array_join(F.transform(pieces, one), ""))
+    fill = {text.lower(): F.col(new)}
+    if "n_chars" in (c.lower() for c in names):
+        fill["n_chars"] = F.length(new).cast(docs.schema[next(c for c in names if c.lower() == "n_chars")].dataType)
+    done = done.select(*[fill[c.lower()].alias(c) if c.lower() in fill else F.col(c) for c in names], count.cast("long").alias("n_mentions"))
     rest = docs.where(~hit).select(*names, F.lit(0).cast("long").alias("n_mentions"))
-    return found.unionAll(rest)
+    return done.unionAll(rest)
