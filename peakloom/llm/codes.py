@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from peakloom.llm.vectors import EXACT, matrix, whole_numbers
-from peakloom.llm.words import bound_batches, buffers, releasing
+from peakloom.llm.words import bound_batches, releasing
 from peakloom.session import Scratch
 
 TOGETHER = 256  # parts of nearly equal sums that are searched together
@@ -65,6 +65,8 @@ class _Sorted:
 
 def nearest(parts: np.ndarray, book: _Sorted) -> tuple[np.ndarray, np.ndarray]:
     """(index, squared distance) of each part's nearest entry, ties to the lower index."""
+    if not book.whole.shape[1]:
+        return np.zeros(len(parts), np.int64), np.zeros(len(parts), np.int64)
     most = max(int(np.abs(parts).max(initial=0)), book.most)
     if 4 * parts.shape[1] ** 2 * max(most, 1) ** 2 >= EXACT:
         return _nearest_large(parts, book.whole)
@@ -130,8 +132,8 @@ def _kept(scale: int, at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, values, sizes = whole_numbers(batch.column(at), scale)
-            data, ends = values.tobytes(), np.concatenate([[0], np.cumsum(sizes)]) * 8
-            packed = pa.array([data[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)], pa.binary())
+            ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            packed = pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
             left = batch.take(pa.array(rows))
             columns = [packed if i == at else left.column(i) for i in range(batch.num_columns)]
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
@@ -140,9 +142,7 @@ def _kept(scale: int, at: int):
 
 
 def _numbers(column: pa.Array, width: int) -> np.ndarray:
-    data, offsets = buffers(column)
-    values = np.frombuffer(data[offsets[0] : offsets[-1]].tobytes(), np.int64)
-    return matrix(values, np.diff(offsets) // 8, width)
+    return matrix(column.flatten().to_numpy(), column.value_lengths().to_numpy(), width)
 
 
 def _sums(books: list[Codebook], width: int):
@@ -219,12 +219,13 @@ def compress(
     others = [c for c in vectors.columns if c.lower() not in ("embedding", "code", "error")]
     whole = F.col("embedding").cast("array<double>").alias("__whole")
     rows = vectors.select(*others, whole)
-    schema = T.StructType([*rows.schema.fields[:-1], T.StructField("__whole", T.BinaryType())])
+    schema = T.StructType([*rows.schema.fields[:-1], T.StructField("__whole", T.ArrayType(T.LongType()))])
     kept = scratch.save(rows.mapInArrow(releasing(_kept(scale, len(others))), schema), "kept")
-    longest = (kept.agg(F.max(F.octet_length("__whole"))).head()[0] or 0) // 8
+    longest = kept.agg(F.max(F.size("__whole"))).head()[0] or 0
     width = -(-longest // parts) * parts
     first = kept.select("vec_id", "__whole").orderBy(F.asc_nulls_last("vec_id"), "__whole").limit(entries).collect()
-    start = matrix(np.frombuffer(b"".join(r["__whole"] for r in first), np.int64), np.array([len(r["__whole"]) // 8 for r in first], np.int64), width)
+    sizes = np.array([len(r["__whole"]) for r in first], np.int64)
+    start = matrix(np.array([x for r in first for x in r["__whole"]], np.int64), sizes, width)
     dims = width // parts
     books = [Codebook(start[:, p * dims : (p + 1) * dims].copy()) for p in range(parts)]
     out = T.StructType([*schema.fields[:-1], T.StructField("code", T.StringType()), T.StructField("error", T.LongType())])

@@ -31,7 +31,7 @@ def whole_numbers(column: pa.Array, scale: int) -> tuple[np.ndarray, np.ndarray,
 def matrix(values: np.ndarray, sizes: np.ndarray, width: int) -> np.ndarray:
     """One row for each vector; components that a shorter one lacks are 0."""
     if len(sizes) and sizes.min() == sizes.max() == width:
-        return values.reshape(-1, width)
+        return values.reshape(len(sizes), width)
     out = np.zeros((len(sizes), width), np.int64)
     out[np.arange(width) < sizes[:, None]] = values
     return out

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 from peakloom.llm import topk
 
 SCHEMA = "vec_id bigint, embedding array<float>, score string, Rank int"
-ASKED = F.col("vec_id") % 100 == 0
+
+
+def asked():
+    return F.col("vec_id") % 100 == 0
 
 
 def _usable(v):
@@ -51,20 +54,20 @@ def test_odd_rows(spark, scratch):
         *[(i, [-0.0001 * i, 0.3, 1e-9]) for i in range(20, 40)],
     ]
     for k in (1, 3, 10, 1000):
-        assert _got(topk.search(_frame(spark, rows), ASKED, k, scratch=scratch)) == _plain(rows, k)
-    assert _got(topk.search(_frame(spark, []), ASKED, scratch=scratch)) == []
-    assert _got(topk.search(_frame(spark, [(1, [1.0])]), ASKED, scratch=scratch)) == []
-    assert _got(topk.search(_frame(spark, [(0, [1.0])]), ASKED, scratch=scratch)) == []
+        assert _got(topk.search(_frame(spark, rows), asked(), k, scratch=scratch)) == _plain(rows, k)
+    assert _got(topk.search(_frame(spark, []), asked(), scratch=scratch)) == []
+    assert _got(topk.search(_frame(spark, [(1, [1.0])]), asked(), scratch=scratch)) == []
+    assert _got(topk.search(_frame(spark, [(0, [1.0])]), asked(), scratch=scratch)) == []
 
 
 def test_numbers_beyond_doubles(spark, scratch):
     rows = [(100 * i, [3e5 * (i + 1) + 0.5, -2e5 * i, 1e5]) for i in range(6)] + [(7, [-1e6, 1e-3, 4e4])]
     schema = "vec_id bigint, embedding array<double>"
-    got = _got(topk.search(spark.createDataFrame(rows, schema), ASKED, 4, scratch=scratch))
+    got = _got(topk.search(spark.createDataFrame(rows, schema), asked(), 4, scratch=scratch))
     assert got == _plain(rows, 4) and max(abs(r[3]) for r in got) > 1 << 53
     for far in (1e30, 1e15):
         with pytest.raises(Exception, match="does not fit a long"):
-            topk.search(spark.createDataFrame([(0, [far]), (1, [far])], schema), ASKED, scratch=scratch).collect()
+            topk.search(spark.createDataFrame([(0, [far]), (1, [far])], schema), asked(), scratch=scratch).collect()
 
 
 def test_bounds_leave_out_nothing(spark, scratch, monkeypatch):
@@ -78,7 +81,7 @@ def test_bounds_leave_out_nothing(spark, scratch, monkeypatch):
         size = 8 if i % 2 else 0.02
         rows.append((draw.randrange(0, 20_000), [round(size * (x + draw.gauss(0, 0.1))) / 256 for x in c]))
     df = _frame(spark, rows).repartition(3)
-    assert _got(topk.search(df, ASKED, 10, scratch=scratch)) == _plain(rows, 10)
+    assert _got(topk.search(df, asked(), 10, scratch=scratch)) == _plain(rows, 10)
 
 
 def test_candidates_are_left_out_by_the_bound(monkeypatch):
