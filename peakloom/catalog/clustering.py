@@ -143,6 +143,74 @@ def network_by_shards(spark, sf):
     return merge_shards(*shards).withColumn("cosine", F.round("cosine", 6))
 
 
+def _changed_sql(peaks: str, score: str, floor: str) -> str:
+    """The network over other peaks ``pk2`` (doc_id, mz, it) or another score of weights a.w and b.w."""
+    return (
+        "WITH "
+        + SPECTRA_SQL
+        + peaks
+        + f"""
+SELECT a.doc_id AS left_id, b.doc_id AS right_id, {score}, count(*)::INT AS matched_peaks,
+       any_value(sb.mass) - any_value(sa.mass) AS delta_mz
+FROM u a JOIN u b ON a.mz = b.mz AND a.doc_id < b.doc_id
+JOIN spec sa ON sa.doc_id = a.doc_id JOIN spec sb ON sb.doc_id = b.doc_id
+GROUP BY 1, 2 HAVING {floor}"""
+    )
+
+
+@query(
+    _changed_sql(
+        """, far AS MATERIALIZED (SELECT pk.* FROM pk JOIN spec USING (doc_id) WHERE abs(mz - mass) > 17),
+weaker AS (
+  SELECT a.doc_id, a.mz FROM far a JOIN far b ON a.doc_id = b.doc_id AND b.it > a.it AND abs(b.mz - a.mz) <= 50
+  GROUP BY ALL HAVING count(*) >= 6),
+pk2 AS (SELECT * FROM far ANTI JOIN weaker USING (doc_id, mz)),
+u AS MATERIALIZED (SELECT doc_id, mz, it / sqrt(sum(it * it) OVER (PARTITION BY doc_id)) AS w FROM pk2)""",
+        "round(sum(a.w * b.w), 6) AS cosine",
+        "sum(a.w * b.w) >= 0.8::DOUBLE",
+    )
+)
+def network_of_strong_peaks(spark, sf):
+    """Only peaks away from the precursor and among the strongest of their window."""
+    params = replace(PARAMS, min_cosine=0.8, peak_filter=True)
+    return network_pairs(document_peaks(spark, sf), params, Scratch(spark)).withColumn("cosine", F.round("cosine", 6))
+
+
+_GAIN_SQL = "sum((a.w + b.w) * log2(a.w + b.w) - a.w * log2(a.w) - b.w * log2(b.w)) / 2"
+
+
+@query(
+    _changed_sql(
+        """, share AS (SELECT doc_id, mz, it / sum(it) OVER (PARTITION BY doc_id) AS p FROM pk),
+flat AS (
+  SELECT doc_id, mz, p ** CASE WHEN s < 3 THEN 0.25 + 0.25 * s ELSE 1 END AS it
+  FROM (SELECT *, -sum(p * ln(p)) OVER (PARTITION BY doc_id) AS s FROM share)),
+u AS MATERIALIZED (SELECT doc_id, mz, it / sum(it) OVER (PARTITION BY doc_id) AS w FROM flat)""",
+        f"round({_GAIN_SQL}, 6) AS entropy",
+        f"{_GAIN_SQL} >= 0.8::DOUBLE",
+    )
+)
+def network_by_entropy(spark, sf):
+    """Spectral entropy similarity in place of the cosine."""
+    params = replace(PARAMS, min_cosine=0.8, score="entropy")
+    return network_pairs(document_peaks(spark, sf), params, Scratch(spark)).withColumn("entropy", F.round("entropy", 6))
+
+
+@query(
+    NETWORK_SQL.replace("any_value(sb.mass) - any_value(sa.mass)", "4000 * (any_value(sb.mass) - any_value(sa.mass))")
+    + " AND abs(any_value(sb.mass) - any_value(sa.mass)) <= 200"
+)
+def network_with_shift(spark, sf):
+    """Every other peak moves with the precursor, so it matches after a shift alone; precursors stand 4,000 apart."""
+    mass = F.col("precursor_mz") * 4000.0
+    peaks = document_peaks(spark, sf).withColumn("precursor_mz", mass)
+    peaks = peaks.withColumn(
+        "mz", F.transform("mz", lambda m: F.when(F.floor(m * 10.0) % 2 == 0, m + F.col("precursor_mz")).otherwise(m))
+    )
+    params = replace(PARAMS, min_cosine=0.8, max_mz=1e12, max_shift=800_000.0)
+    return network_pairs(peaks, params, Scratch(spark)).withColumn("cosine", F.round("cosine", 6))
+
+
 @query(
     "WITH RECURSIVE "
     + LABELS_SQL

@@ -34,6 +34,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--do_networking", choices=["Yes", "No"], default="Yes")
     p.add_argument("--min_cosine", type=float, default=base.min_cosine)
     p.add_argument("--min_matched_peaks", type=int, default=base.min_matched_peaks)
+    p.add_argument("--similarity", choices=["cosine", "entropy"], default=base.score, help="score of the network's pairs")
+    p.add_argument("--max_shift", type=float, default=base.max_shift, help="match shifted peaks up to this precursor difference")
+    p.add_argument("--enable_peak_filtering", choices=["Yes", "No"], default="Yes", help="strongest peaks only, in the network")
     p.add_argument("--mode", choices=["PERMISSIVE", "DROPMALFORMED", "FAILFAST"], default="PERMISSIVE")
     p.add_argument("--sample_size", type=int, default=base.sample_size)
     p.add_argument("--sample_seed", default=base.sample_seed)
@@ -54,6 +57,9 @@ def main(argv: list[str] | None = None) -> dict:
         do_networking=args.do_networking == "Yes",
         min_cosine=args.min_cosine,
         min_matched_peaks=args.min_matched_peaks,
+        score=args.similarity,
+        max_shift=args.max_shift,
+        peak_filter=args.enable_peak_filtering == "Yes",
         sample_size=args.sample_size,
         sample_seed=args.sample_seed,
         min_samples=args.min_samples,

@@ -131,3 +131,35 @@ def vectorise(df: DataFrame, params: ClusterParams) -> DataFrame:
             yield out.filter(pa.array(span >= min_range))
 
     return df.mapInArrow(kernel, schema)
+
+
+#: Peak filter before networking: how many stronger peaks within how far, and how far from the precursor.
+WINDOW, WINDOW_PEAKS, PRECURSOR_GAP = 50.0, 6, 17.0
+_AT_ONCE = 1 << 21
+
+
+def strong_peaks(mz: np.ndarray, intensity: np.ndarray, rows: np.ndarray, precursor: np.ndarray) -> np.ndarray:
+    """Mask of peaks with fewer than ``WINDOW_PEAKS`` stronger ones within ``WINDOW``, and away from the precursor.
+
+    Peaks near the precursor go first, so they take no place in a window. ``rows`` ascend, and ``mz`` within
+    a row; ``precursor`` has one mass per row, null or NaN where there is none.
+    """
+    mass = precursor.astype(np.float64)[rows]
+    keep = ~(np.abs(mz - mass) <= PRECURSOR_GAP)
+    left = np.flatnonzero(keep)
+    mz, intensity, rows = mz[left], intensity[left], rows[left]
+    width = (mz.max(initial=0.0) - mz.min(initial=0.0)) + 2 * WINDOW + 1.0
+    axis = rows * width + (mz - mz.min(initial=0.0))
+    slack = WINDOW + 1e-6
+    first = np.searchsorted(axis, axis - slack, "left")
+    span = np.searchsorted(axis, axis + slack, "right") - first
+    total, start = np.r_[0, np.cumsum(span)], 0
+    while start < len(mz):
+        stop = max(start + 1, int(np.searchsorted(total, total[start] + _AT_ONCE, "right")) - 1)
+        n = span[start:stop]
+        one = np.repeat(np.arange(start, stop), n)
+        other = np.repeat(first[start:stop] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        stronger = (intensity[other] > intensity[one]) & (np.abs(mz[other] - mz[one]) <= WINDOW)
+        keep[left[start:stop]] = np.bincount(one[stronger] - start, minlength=stop - start) < WINDOW_PEAKS
+        start = stop
+    return keep

@@ -59,6 +59,9 @@ class ClusterParams:
     do_networking: bool = True
     min_cosine: float = 0.7
     min_matched_peaks: int | None = None
+    score: str = "cosine"
+    max_shift: float | None = None
+    peak_filter: bool = False
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "precursor_tol", Tolerance.parse(self.precursor_tol))
@@ -70,6 +73,10 @@ class ClusterParams:
             raise ValueError("min_samples counts the spectrum itself and must be 2 or more")
         if not 0 < self.min_cosine <= 1:
             raise ValueError("min_cosine must lie between 0 and 1")
+        if self.score not in ("cosine", "entropy"):
+            raise ValueError("score is cosine or entropy")
+        if self.max_shift is not None and self.max_shift < 0:
+            raise ValueError("max_shift must not be negative")
 
     @property
     def similarity(self) -> float:

@@ -8,7 +8,7 @@ from peakloom.operators import rangejoin
 from peakloom.operators.cluster import cluster_spectra, prepare
 from peakloom.operators.components import components
 from peakloom.operators.ids import dense_index
-from peakloom.operators.network import greedy_matches, network_pairs
+from peakloom.operators.network import greedy_matches, network_pairs, prepare_network
 from peakloom.operators.similarity import explode_prefixes, feature_counts, prefixes
 from peakloom.params import ClusterParams, Tolerance
 
@@ -197,6 +197,103 @@ def test_network_equals_brute_force(spark, scratch, chunk):
     assert sum(shards) == len(want)
 
 
+def plain_score(a, b, params):
+    """Score and matched peaks by trying every pair of peaks, best gain first."""
+
+    def weights(r):
+        p = sorted((m, i) for m, i in zip(r["mz"], r["intensity"], strict=True))
+        if params.peak_filter:
+            p = [q for q in p if abs(q[0] - r["precursor_mz"]) > 17]
+            p = [q for q in p if sum(o[1] > q[1] and abs(o[0] - q[0]) <= 50 for o in p) < 6]
+        if params.score == "cosine":
+            n = np.sqrt(sum(i * i for _, i in p))
+            return [(m, i / n) for m, i in p]
+        share = [i / sum(i for _, i in p) for _, i in p]
+        s = -sum(x * np.log(x) for x in share)
+        flat = [x ** (0.25 + 0.25 * s) if s < 3 else x for x in share]
+        return [(m, x / sum(flat)) for (m, _), x in zip(p, flat, strict=True)]
+
+    def gain(x, y):
+        return x * y if params.score == "cosine" else ((x + y) * np.log2(x + y) - x * np.log2(x) - y * np.log2(y)) / 2
+
+    delta = b["precursor_mz"] - a["precursor_mz"]
+    if params.max_shift is not None and abs(delta) > params.max_shift:
+        return 0.0, 0
+    tol, pa, pb = params.fragment_tol, weights(a), weights(b)
+    hits = []
+    for i, (ma, wa) in enumerate(pa):
+        for j, (mb, wb) in enumerate(pb):
+            if abs(ma - mb) <= tol or (params.max_shift is not None and abs(ma + delta - mb) <= tol):
+                hits.append((-gain(wa, wb), i, j))
+    ui, uj, total, n = set(), set(), 0.0, 0
+    for g, i, j in sorted(hits):
+        if i not in ui and j not in uj:
+            ui.add(i)
+            uj.add(j)
+            total -= g
+            n += 1
+    return total, n
+
+
+@pytest.mark.parametrize(
+    "params",
+    [
+        ClusterParams(min_cosine=0.6, max_shift=40.0),
+        ClusterParams(min_cosine=0.6, score="entropy"),
+        ClusterParams(min_cosine=0.6, score="entropy", max_shift=40.0),
+        ClusterParams(min_cosine=0.6, peak_filter=True),
+    ],
+    ids=["shift", "entropy", "entropy and shift", "filter"],
+)
+def test_other_scores_equal_brute_force(spark, scratch, params):
+    """Families whose members lose a group: half the peaks move with the precursor, and several stand close together."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for family in range(5):
+        mz, strength = rng.uniform(60, 400, 25), rng.exponential(10, 25) + 0.1
+        for member in range(6):
+            delta = [0.0, 14.02, 15.99, 28.03, 100.0, 0.04][member]
+            own = np.where(np.arange(25) % 2 == 0, mz, mz + delta) + rng.uniform(-0.02, 0.02, 25)
+            own, force = np.r_[own, own[:4] + 0.03], np.r_[strength, strength[:4] * 0.8] * rng.uniform(0.7, 1.3, 29)
+            rows.append(dict(path="p", scan=len(rows), precursor_mz=420.0 + 3 * family + delta, charge=1, mz=own, intensity=force))
+    frame = spectra_frame(spark, rows).withColumnRenamed("scan", "id").repartition(3)
+    want = {}
+    for i, a in enumerate(rows):
+        for b in rows[i + 1 :]:
+            total, n = plain_score(a, b, params)
+            if total >= params.min_cosine:
+                want[(a["scan"], b["scan"])] = (pytest.approx(total, abs=1e-9), n)
+    assert len(want) > 10
+    for chunk in (4096, 7):
+        made = network_pairs(frame, params, scratch, None, chunk)
+        assert {(r.left_id, r.right_id): (r[params.score], r.matched_peaks) for r in made.collect()} == want
+    assert sum(network_pairs(frame, params, scratch, (k, 2)).count() for k in range(2)) == len(want)
+
+
+def test_blocks_too_unlike_form_no_cell(spark, scratch):
+    """Spectra of two peaks against spectra of four hundred: sums and largest weights bound the cosine below 0.8."""
+    sizes = [2 if n < 140 else 400 for n in range(280)]
+    rows = [
+        dict(path="p", scan=n, precursor_mz=500.0, charge=1, mz=100 + np.arange(k) * 0.5, intensity=np.ones(k)) for n, k in enumerate(sizes)
+    ]
+    frame = spectra_frame(spark, rows).withColumnRenamed("scan", "id")
+    params = ClusterParams(min_cosine=0.8)
+    prepared = prepare_network(frame, params, scratch)
+    assert prepared.blocks == 4
+    assert {(r.block, r.other) for r in prepared.cells.collect()} == {(a, b) for a in range(4) for b in range(4) if a // 2 == b // 2}
+    assert network_pairs(frame, params, scratch, prepared=prepared).count() == 2 * (140 * 139 // 2)
+
+
+def test_precursors_that_are_unknown(spark, scratch):
+    rows = [dict(path="p", scan=n, precursor_mz=500.0 + 5 * n, charge=1, mz=[100.0, 200.0 + 5 * n], intensity=[1.0, 1.0]) for n in range(3)]
+    frame = spectra_frame(spark, rows).withColumnRenamed("scan", "id").selectExpr(
+        "id", "CASE WHEN id < 2 THEN precursor_mz END AS precursor_mz", "mz", "intensity"
+    )
+    params = ClusterParams(min_cosine=0.4, max_shift=50.0)
+    got = {(r.left_id, r.right_id): (round(r.cosine, 9), r.matched_peaks, r.delta_mz) for r in network_pairs(frame, params, scratch).collect()}
+    assert got == {(0, 1): (1.0, 2, 5.0), (0, 2): (0.5, 1, None), (1, 2): (0.5, 1, None)}
+
+
 def test_network_without_any_match(spark, scratch):
     """Peaks in neighbouring bins that are further apart than the tolerance."""
     rows = [
