@@ -30,6 +30,7 @@ from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +45,7 @@ HUB_PART = 2_000  # pairs of one hub that go to one task
 SMALL_GROUP = 12  # classes of a group whose pairs are listed
 BLOCK_CLASSES, BLOCK_SHINGLES = 800, 1_000_000
 COLUMNS = 4096  # shingles of one matrix product
+BITMAP = 1 << 25  # bits that tell which ids may go
 _draw = np.random.default_rng(7)
 FACTORS = _draw.integers(0, 1 << 32, FUNCTIONS, dtype=np.uint32) | np.uint32(1)
 TERMS = _draw.integers(0, 1 << 32, FUNCTIONS, dtype=np.uint32)
@@ -372,12 +374,38 @@ def _agreeing(batch: pa.RecordBatch, least: int) -> pa.RecordBatch:
     return batch.select(["node", "hub"]).filter(pa.array((one == two).sum(axis=1) >= least))
 
 
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` without the ids of ``gone``, moving few rows besides theirs.
+
+    A bitmap of ``BITMAP`` bits, 4 MB whatever the data, holds a hash of every id that goes. Rows that do not hit it
+    stay where they are; only the others, which are those to go and a few more, are joined with the ids.
+    """
+    spark = docs.sparkSession
+    place = F.pmod(F.xxhash64(F.col("doc_id").cast("bigint")), F.lit(BITMAP))
+    words = gone.select(place.alias("p")).groupBy(F.shiftright("p", 5).cast("int").alias("word"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("p").bitwiseAND(31).cast("int"))
+    words = words.agg(F.bit_or(bit).alias("bits")).toPandas()
+    bitmap = np.zeros(BITMAP // 32, np.uint32)
+    bitmap[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
+    shared = spark.sparkContext.broadcast(bitmap)
+
+    @F.pandas_udf("boolean")
+    def marked(places: pd.Series) -> pd.Series:
+        at = places.fillna(0).to_numpy(np.int64)
+        return pd.Series((shared.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1 > 0)
+
+    hit = F.col("doc_id").isNotNull() & marked(place)
+    names = docs.columns
+    stay = docs.where(~hit).select(*names)
+    return stay.unionAll(docs.where(hit).join(gone, "doc_id", "left_anti").select(*names))
+
+
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that are kept; of rows that repeat a doc_id and its set, one."""
     scratch = Scratch(docs.sparkSession)
     found = scratch.save(near_duplicates(docs, k, percent, scratch=scratch), "found")
     gone = found.where(~F.col("kept")).select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    left = _without(docs, scratch.save(gone, "gone"))
     repeated = found.where(F.col("kept") & (F.col("copies") > 1)).select("doc_id").distinct()
     repeated = scratch.save(repeated, "repeated")
     if repeated.isEmpty():

@@ -75,3 +75,15 @@ def test_components_of_chains_and_stars(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "left bigint, right bigint"), scratch).collect()}
     assert got == {x: find(x) for e in edges if e[0] != e[1] for x in e}
     scratch.clear()
+
+
+@pytest.mark.parametrize("bits", [1 << 6, 1 << 25])
+def test_rows_without_some_ids(spark, monkeypatch, bits):
+    """A full bitmap moves more rows and drops the same."""
+    monkeypatch.setattr(neardup, "BITMAP", bits)
+    ids = [None, None, -5, 0, 1 << 60, *range(1, 400), 7, 8]
+    docs = spark.createDataFrame([(i, "own") for i in ids], "doc_id bigint, places string").repartition(5)
+    for gone in ([], [-5, 7, 1 << 60, 12345], list(range(0, 400, 2))):
+        table = spark.createDataFrame([(i,) for i in gone], "doc_id bigint")
+        got = sorted((r.doc_id for r in neardup._without(docs, table).collect()), key=str)
+        assert got == sorted((i for i in ids if i not in gone), key=str)
