@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -56,16 +57,20 @@ def runs(sizes: np.ndarray, most: int) -> Iterator[slice]:
         start = stop
 
 
-def block_count(rows: int, partitions: int, most: int = BLOCK) -> int:
-    """Blocks of at most ``most`` rows, and enough of them that their pairs fill all partitions."""
-    return max(1, math.ceil(rows / most), min(math.ceil(math.sqrt(4 * partitions)), math.ceil(rows / 64)))
+def block_count(rows: int, partitions: int, most: int = BLOCK, near: bool = False) -> int:
+    """Blocks of at most ``most`` rows, and enough of them that their pairs fill all partitions.
+
+    ``near``: only blocks next to each other have pairs.
+    """
+    wanted = 2 * partitions if near else math.ceil(math.sqrt(4 * partitions))
+    return max(1, math.ceil(rows / most), min(wanted, math.ceil(rows / 64)))
 
 
-def number_blocks(rows: DataFrame, keys: list[str], scratch: Scratch, most: int = BLOCK) -> tuple[DataFrame, int]:
+def number_blocks(rows: DataFrame, keys: list[str], scratch: Scratch, most: int = BLOCK, near: bool = False) -> tuple[DataFrame, int]:
     """``rows`` with ``block``: equal runs of the order of ``keys``; and the number of blocks."""
     placed = dense_index(rows, [F.col(k) for k in keys], "_place", scratch)
     count = placed.agg(F.max("_place")).first()[0] or 0
-    blocks = block_count(count, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), most)
+    blocks = block_count(count, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), most, near)
     size = max(1, math.ceil(count / blocks))
     placed = placed.withColumn("block", F.floor((F.col("_place") - 1) / F.lit(size)).cast("int")).drop("_place")
     return placed, blocks
@@ -78,20 +83,78 @@ def by_cell(rows: DataFrame, order: list[str], blocks: int) -> DataFrame:
     return rows.repartitionById(number, F.pmod("cell", F.lit(number)).cast("int")).sortWithinPartitions("cell", *order)
 
 
+@dataclass
+class Side:
+    """Vectors of one side of a cell: list columns, and one value for each vector of the scalar ones."""
+
+    lists: Lists
+    scalars: dict[str, np.ndarray]
+
+
+#: What scores the pairs of a cell: from both sides to a function of (places of x, places of y).
+Scorer = Callable[[Side, Side], Callable[[np.ndarray, np.ndarray], dict[str, np.ndarray]]]
+
+
+def on_flat_lists(score: Callable[[dict, dict, np.ndarray, np.ndarray, int], dict[str, np.ndarray]]) -> Scorer:
+    """A scorer from a function of flat lists.
+
+    It gets both sides' values, flat lists and one scalar for each pair, the pair number of each element of
+    either side, and the number of pairs.
+    """
+
+    def cell(left: Side, right: Side) -> Callable:
+        def pairs(at_x: np.ndarray, at_y: np.ndarray) -> dict[str, np.ndarray]:
+            found = []
+            for piece in runs(left.lists.lengths(at_x) + right.lists.lengths(at_y), AT_ONCE):
+                parts, numbers = [], []
+                for side, rows in ((left, at_x[piece]), (right, at_y[piece])):
+                    place, number = side.lists.gather(rows)
+                    parts.append({c: v[place] for c, v in side.lists.values.items()} | {c: v[rows] for c, v in side.scalars.items()})
+                    numbers.append(number)
+                found.append(score(*parts, *numbers, piece.stop - piece.start))
+            return {n: np.concatenate([f[n] for f in found]) for n in found[0]}
+
+        return pairs
+
+    return cell
+
+
+def dot_products(left: Side, right: Side) -> Callable:
+    """``cosine``: the sum of products of ``weights`` over equal ``bins``, each at most once in a vector.
+
+    The bins of the right side are numbered; a left vector is laid out over them once for all its partners.
+    """
+    known, yb = np.unique(right.lists.values["bins"], return_inverse=True)
+    xb = np.searchsorted(known, left.lists.values["bins"])
+    met = np.append(known, -1)[xb] == left.lists.values["bins"] if len(known) else np.zeros(len(xb), bool)
+    xw, yw = left.lists.values["weights"], right.lists.values["weights"]
+    laid = np.zeros(len(known))
+
+    def pairs(at_x: np.ndarray, at_y: np.ndarray) -> dict[str, np.ndarray]:
+        out = np.zeros(len(at_x))
+        order = np.argsort(at_x, kind="stable")
+        cuts = np.flatnonzero(np.diff(at_x[order])) + 1
+        for low, high in zip(np.r_[0, cuts], np.r_[cuts, len(order)], strict=True):
+            x = at_x[order[low]]
+            own = np.arange(left.lists.offsets[x], left.lists.offsets[x + 1])
+            own = own[met[own]]
+            laid[xb[own]] = xw[own]
+            for piece in runs(right.lists.lengths(at_y[order[low:high]]), AT_ONCE):
+                rows = order[low + piece.start : low + piece.stop]
+                place, number = right.lists.gather(at_y[rows])
+                out[rows] = np.bincount(number, laid[yb[place]] * yw[place], len(rows))
+            laid[xb[own]] = 0.0
+        return {"cosine": out}
+
+    return pairs
+
+
 def score_in_cells(
-    pairs: DataFrame,
-    vectors: DataFrame,
-    lists: list[str],
-    scalars: list[str],
-    score: Callable[[dict, dict, np.ndarray, np.ndarray, int], dict[str, np.ndarray]],
-    fields: list[T.StructField],
-    blocks: int,
+    pairs: DataFrame, vectors: DataFrame, lists: list[str], scalars: list[str], scorer: Scorer, fields: list[T.StructField], blocks: int
 ) -> DataFrame:
     """Score pairs (cell, x, y): the result has x, y and ``fields``.
 
-    ``vectors`` has id, the list columns and the scalar ones. ``score`` gets both sides' values, flat
-    lists and one scalar for each pair, the pair number of each element of either side, and the
-    number of pairs.
+    ``vectors`` has id, the list columns and the scalar ones.
     """
     columns = [F.col(c) for c in (*lists, *scalars)]
     empty = [F.lit(None).cast(vectors.schema[c].dataType).alias(c) for c in (*lists, *scalars)]
@@ -101,34 +164,16 @@ def score_in_cells(
         for kind, side in enumerate("xy")
     ]
     asked = pairs.select("cell", F.lit(2).alias("kind"), F.col("x").alias("id"), "y", *empty)
-    together = by_cell(sides[0].unionAll(sides[1]).unionAll(asked), ["kind"], blocks)
+    together = by_cell(sides[0].unionAll(sides[1]).unionAll(asked), ["kind", "id"], blocks)
     schema = T.StructType([T.StructField("x", T.LongType()), T.StructField("y", T.LongType()), *fields])
     names = [f.name for f in fields]
 
-    def side_of(batches: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, Lists, dict]:
-        ids = np.concatenate([b.column("id").to_numpy() for b in batches])
-        order = np.argsort(ids)
-        plain = {c: np.concatenate([b.column(c).to_numpy(zero_copy_only=False) for b in batches]) for c in scalars}
-        return ids[order], order, Lists(batches, lists), plain
-
-    def one(side: tuple, wanted: np.ndarray) -> np.ndarray:
-        return side[1][np.searchsorted(side[0], wanted)]
-
-    def scored(left: tuple, right: tuple, x: np.ndarray, y: np.ndarray) -> Iterator[pa.RecordBatch]:
-        at_x, at_y = one(left, x), one(right, y)
-        for piece in runs(left[2].lengths(at_x) + right[2].lengths(at_y), AT_ONCE):
-            parts, numbers = [], []
-            for side, rows in ((left, at_x[piece]), (right, at_y[piece])):
-                place, number = side[2].gather(rows)
-                parts.append({c: v[place] for c, v in side[2].values.items()} | {c: v[rows] for c, v in side[3].items()})
-                numbers.append(number)
-            found = score(*parts, *numbers, piece.stop - piece.start)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x[piece]), pa.array(y[piece]), *[pa.array(found[n], from_pandas=True) for n in names]], names=["x", "y", *names]
-            )
+    def side_of(batches: list[pa.RecordBatch]) -> tuple[np.ndarray, Side]:
+        ids = np.concatenate([b.column("id").to_numpy() for b in batches])  # ascending
+        return ids, Side(Lists(batches, lists), {c: np.concatenate([b.column(c).to_numpy(zero_copy_only=False) for b in batches]) for c in scalars})
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, held, sides = None, ([], []), None
+        cell, held, left, right, score = None, ([], []), None, None, None
         for batch in batches:
             cells = batch.column("cell").to_numpy()
             kinds = batch.column("kind").to_numpy()
@@ -138,12 +183,30 @@ def score_in_cells(
                     continue
                 part, kind = batch.slice(low, high - low), kinds[low]
                 if cells[low] != cell:
-                    cell, held, sides = cells[low], ([], []), None
+                    cell, held, score = cells[low], ([], []), None
                 if kind < 2:
                     held[kind].append(part)
                     continue
-                if sides is None:
-                    sides, held = (side_of(held[0]), side_of(held[1])), ([], [])
-                yield from scored(*sides, part.column("id").to_numpy(), part.column("y").to_numpy())
+                if score is None:
+                    left, right = side_of(held[0]), side_of(held[1])
+                    score, held = scorer(left[1], right[1]), ([], [])
+                x, y = part.column("id").to_numpy(), part.column("y").to_numpy()
+                found = score(np.searchsorted(left[0], x), np.searchsorted(right[0], y))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x), pa.array(y), *[pa.array(found[n], from_pandas=True) for n in names]], names=["x", "y", *names]
+                )
 
     return together.mapInArrow(kernel, schema)
+
+
+def score_pairs(pairs: DataFrame, vectors: DataFrame, placed: DataFrame, blocks: int) -> DataFrame:
+    """Add ``cosine`` to pairs (x, y): the dot product of the two vectors (id, bins, weights).
+
+    ``placed`` has the block of each id.
+    """
+    one = placed.select(F.col("id").alias("x"), F.col("block").alias("bx"))
+    two = placed.select(F.col("id").alias("y"), F.col("block").alias("by"))
+    cell = (F.col("bx").cast("bigint") * blocks + F.col("by")).alias("cell")
+    in_cells = pairs.join(one, "x").join(two, "y").select(cell, "x", "y")
+    field = T.StructField("cosine", T.DoubleType())
+    return score_in_cells(in_cells, vectors, ["bins", "weights"], [], dot_products, [field], blocks)

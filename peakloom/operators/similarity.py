@@ -109,32 +109,3 @@ def plausible_pairs(met: DataFrame, threshold: float) -> DataFrame:
         .where(F.col("_a") + F.col("_r") >= F.lit(threshold - 1e-6))
         .select("x", "y")
     )
-
-
-def score_pairs(pairs: DataFrame, vectors: DataFrame, key: str) -> DataFrame:
-    """Add ``cosine``: the exact dot product of the two vectors of each (x, y)."""
-    table = vectors.select(key, "bins", "weights")
-    one = table.select(F.col(key).alias("x"), F.col("bins").alias("xb"), F.col("weights").alias("xw"))
-    two = table.select(F.col(key).alias("y"), F.col("bins").alias("yb"), F.col("weights").alias("yw"))
-    names = pairs.columns
-    schema = T.StructType([*pairs.schema.fields, T.StructField("cosine", T.DoubleType())])
-
-    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            count = batch.num_rows
-            xb, xr = list_parts(batch.column("xb"))
-            yb, yr = list_parts(batch.column("yb"))
-            xw, _ = list_parts(batch.column("xw"))
-            yw, _ = list_parts(batch.column("yw"))
-            width = 1 + int(max(xb.max(initial=0), yb.max(initial=0)))
-            # Bins ascend within a row, so both key lists are sorted and free of repeats.
-            xk = xr.astype(np.int64) * width + xb.astype(np.int64)
-            yk = yr.astype(np.int64) * width + yb.astype(np.int64)
-            _, at_x, at_y = np.intersect1d(xk, yk, assume_unique=True, return_indices=True)
-            cosine = np.bincount(xr[at_x], xw[at_x] * yw[at_y], count)
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(n) for n in names], pa.array(cosine, pa.float64())],
-                names=[*names, "cosine"],
-            )
-
-    return pairs.join(one, "x").join(two, "y").select(*names, "xb", "xw", "yb", "yw").mapInArrow(kernel, schema)
