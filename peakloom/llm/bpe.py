@@ -30,6 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from peakloom.llm.columns import without
 from peakloom.llm.words import bound_batches, releasing
 
 BLOCK_CHARS = 2 << 20
@@ -280,10 +281,11 @@ def encode(
     """``docs`` with a column of token ids as little-endian unsigned 32-bit integers.
 
     ``path`` is a rank file at the same place on every machine. ``decoded`` names a further column for the bytes
-    that the ids stand for, decoded in the same pass.
+    that the ids stand for, decoded in the same pass. Columns called like the new ones, in whatever case, are replaced.
     """
     bound_batches(docs.sparkSession)
     names = [ids] if decoded is None else [ids, decoded]
+    docs = without(docs, *names)
     schema = T.StructType([*docs.schema.fields, *[T.StructField(n, T.BinaryType()) for n in names]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,8 +310,9 @@ def _bytes_of(ids: bytes, tokens: dict[int, bytes]) -> bytes:
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """``encoded`` with the bytes that the ids stand for."""
+    """``encoded`` with the bytes that the ids stand for; a column called ``decoded``, in whatever case, is replaced."""
     bound_batches(encoded.sparkSession)
+    encoded = without(encoded, decoded)
     schema = T.StructType([*encoded.schema.fields, T.StructField(decoded, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

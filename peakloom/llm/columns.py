@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
 def without(df: DataFrame, *names: str) -> DataFrame:
@@ -21,3 +22,13 @@ def unused(df: DataFrame, *names: str) -> list[str]:
             name += "_"
         out.append(name)
     return out
+
+
+def aside(df: DataFrame, *names: str) -> tuple[DataFrame, list[Column]]:
+    """``df`` with columns called like inner ``names`` put under other names, and all columns under their own again."""
+    taken = {n.lower() for n in names}
+    clashing = [c for c in df.columns if c.lower() in taken]
+    if not clashing:
+        return df, [F.col(c) for c in df.columns]
+    other = dict(zip(clashing, unused(df, *[f"{c}_own" for c in clashing]), strict=True))
+    return df.withColumnsRenamed(other), [F.col(other.get(c, c)).alias(c) for c in df.columns]

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from peakloom.llm.columns import aside
 from peakloom.llm.words import ALPHANUMERIC, binary, bound_batches, buffers, groups, mix, releasing, words_of
 from peakloom.session import Scratch
 
@@ -362,6 +363,7 @@ def clean(
     its words, or if a match is longer than ``max_span`` words (None: no such limit). ``n_chars``, where there
     is such a column, follows the text. Documents without hits are unchanged.
     """
+    docs, own = aside(docs, *_HIDDEN)
     found = match_items(docs, items, window)
     n_words, spans, _ = (F.col(c) for c in _HIDDEN)
     hit = F.aggregate(spans, F.lit(0).cast("long"), lambda total, s: total + s["stop"] - s["start"])
@@ -379,7 +381,7 @@ def clean(
         kind = docs.schema["n_chars"].dataType
         changed = F.size(_HIDDEN[1]) > 0
         cleaned = cleaned.withColumn("n_chars", F.when(changed, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return cleaned.select(*docs.columns)
+    return cleaned.select(*own)
 
 
 def _cut_batch(batch: pa.RecordBatch) -> pa.RecordBatch:

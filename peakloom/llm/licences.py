@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from peakloom.llm.columns import without
 from peakloom.llm.words import ALPHANUMERIC, Words, binary, bound_batches, buffers, groups, releasing, words_of
 
 # Phrases with their labels, and templates with theirs.
@@ -203,8 +204,12 @@ _FIELDS = [
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """``docs`` with a struct ``license``: word and phrase counts, places, labels and score."""
+    """``docs`` with a struct ``license``: word and phrase counts, places, labels and score.
+
+    A column that is called so already, in whatever case, is replaced.
+    """
     bound_batches(docs.sparkSession)
+    docs = without(docs, "license")
     struct = T.StructType([T.StructField(n, t) for n, t, _ in _FIELDS])
     schema = T.StructType([*docs.schema.fields, T.StructField("license", struct)])
 

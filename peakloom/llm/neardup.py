@@ -30,7 +30,6 @@ from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -384,15 +383,15 @@ def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     place = F.pmod(F.xxhash64(F.col("doc_id").cast("bigint")), F.lit(BITMAP))
     words = gone.select(place.alias("p")).groupBy(F.shiftright("p", 5).cast("int").alias("word"))
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("p").bitwiseAND(31).cast("int"))
-    words = words.agg(F.bit_or(bit).alias("bits")).toPandas()
+    words = words.agg(F.bit_or(bit).alias("bits")).toArrow()
     bitmap = np.zeros(BITMAP // 32, np.uint32)
-    bitmap[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
+    bitmap[words["word"].to_numpy()] = words["bits"].to_numpy().astype(np.uint32)
     shared = spark.sparkContext.broadcast(bitmap)
 
-    @F.pandas_udf("boolean")
-    def marked(places: pd.Series) -> pd.Series:
-        at = places.fillna(0).to_numpy(np.int64)
-        return pd.Series((shared.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1 > 0)
+    @F.arrow_udf("boolean")
+    def marked(places: pa.Array) -> pa.Array:
+        at = places.fill_null(0).to_numpy()
+        return pa.array((shared.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1 > 0)
 
     hit = F.col("doc_id").isNotNull() & marked(place)
     names = docs.columns

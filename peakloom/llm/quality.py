@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from peakloom.llm.columns import without
 from peakloom.llm.words import BYTE_VALUES, SPACED, Classes, binary, bound_batches, byte_classes, buffers, groups, mix, releasing, words_of
 
 BITS = 18
@@ -194,8 +195,12 @@ def held_out(doc_id: Column) -> Column:
 
 
 def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
-    """``docs`` with a score from 0 to 1; higher means that label 1 is likelier."""
+    """``docs`` with a score from 0 to 1; higher means that label 1 is likelier.
+
+    A column called ``name`` already, in whatever case, is replaced.
+    """
     bound_batches(docs.sparkSession)
+    docs = without(docs, name)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
 

@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from peakloom.llm.columns import unused, without
+
 SHINGLE = 5
 FRACTION = 4  # one hash in so many is kept
 NON_WORDS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -31,19 +33,22 @@ def with_sketch(df: DataFrame, text: Column, name: str, k: int = SHINGLE, fracti
     """``df`` with a column struct(n, least, kept) of the text's sketch.
 
     Words, their hashes and the shingles are columns of their own, so that none is evaluated again for each element.
+    A column called ``name`` already, in whatever case, is replaced.
     """
+    df = without(df, name)
+    held, made = unused(df, "words", "runs")
     bound = -(1 << 63) + (1 << 64) // fraction
     words = F.split(F.translate(F.coalesce(text, F.lit("")), *_LOWER), NON_WORDS)
     hashed = F.filter(F.transform(words, lambda w: F.when(w != "", F.xxhash64(w))), lambda h: h.isNotNull())
-    size = F.size("__words")
-    starts = F.slice("__words", F.lit(1), F.greatest(size - F.lit(k - 1), F.lit(0)))
-    runs = F.transform(starts, lambda _, i: F.xxhash64(*[F.get("__words", i + j) for j in range(k)]))
-    few = F.when(size > 0, F.array(F.xxhash64("__words"))).otherwise(F.array().cast("array<bigint>"))
-    out = df.withColumn("__words", hashed)
-    out = out.withColumn("__runs", F.array_distinct(F.when(size >= k, runs).otherwise(few))).drop("__words")
-    kept = F.array_sort(F.filter("__runs", lambda h: h < F.lit(bound)))
-    sketch = F.struct(F.size("__runs").alias("n"), F.array_min("__runs").alias("least"), kept.alias("kept"))
-    return out.withColumn(name, sketch).drop("__runs")
+    size = F.size(held)
+    starts = F.slice(held, F.lit(1), F.greatest(size - F.lit(k - 1), F.lit(0)))
+    runs = F.transform(starts, lambda _, i: F.xxhash64(*[F.get(held, i + j) for j in range(k)]))
+    few = F.when(size > 0, F.array(F.xxhash64(held))).otherwise(F.array().cast("array<bigint>"))
+    out = df.withColumn(held, hashed)
+    out = out.withColumn(made, F.array_distinct(F.when(size >= k, runs).otherwise(few))).drop(held)
+    kept = F.array_sort(F.filter(made, lambda h: h < F.lit(bound)))
+    sketch = F.struct(F.size(made).alias("n"), F.array_min(made).alias("least"), kept.alias("kept"))
+    return out.withColumn(name, sketch).drop(made)
 
 
 def fingerprint(sketch: Column) -> Column:
@@ -78,34 +83,36 @@ def with_next(
 
     Rows are dealt to key ranges, several for each shuffle partition, and each range also gets a copy of the first
     row of the range after it. So every text moves once and no range is larger than its share of the rows. Rows of
-    equal key follow one another; null keys come first.
+    equal key follow one another; null keys come first. Columns called like the new ones, in whatever case, are replaced.
     """
     spark = docs.sparkSession
+    docs = without(docs, *[f"next_{c}" for c in columns])
+    at, part, to, last, copy = unused(docs, "order", "range", "to", "last", "copy")
     order = F.coalesce(F.col(key), F.lit(-(1 << 63)))
     ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = docs.agg(F.percentile_approx(order.cast("double"), [i / ranges for i in range(1, ranges)], 100 * ranges)).head()[0]
     splits = [-float("inf"), *sorted(set(cuts or [0.0])), float("inf")]
-    bucketizer = Bucketizer(splits=splits, inputCol="__order", outputCol="__range")
-    dealt = bucketizer.transform(docs.withColumn("__order", order.cast("double"))).withColumn("__order", order)
+    bucketizer = Bucketizer(splits=splits, inputCol=at, outputCol=part)
+    dealt = bucketizer.transform(docs.withColumn(at, order.cast("double"))).withColumn(at, order)
     # one row for each range that has any: the range before it, and the place of its first row
-    firsts = dealt.groupBy("__range").agg(F.min("__order").alias("__order"))
-    listed = sorted((r["__range"], r["__order"]) for r in firsts.collect())
+    firsts = dealt.groupBy(part).agg(F.min(at).alias(at))
+    listed = sorted((r[part], r[at]) for r in firsts.collect())
     if not listed:
         return prepare(docs).select("*", *[F.col(c).alias(f"next_{c}") for c in columns])
     before = {first: listed[i - 1][0] for i, (_, first) in enumerate(listed)}
     wrapped = listed[0][1]
     moved = spark.createDataFrame(
-        [(first, place, first == wrapped) for first, place in before.items()], "__order bigint, __to double, __last boolean"
+        [(first, place, first == wrapped) for first, place in before.items()], f"{at} bigint, {to} double, {last} boolean"
     )
-    heads = dealt.join(F.broadcast(moved), "__order")
-    own = F.lit(False).alias("__copy")
+    heads = dealt.join(F.broadcast(moved), at)
+    own = F.lit(False).alias(copy)
     names = docs.columns
-    body = dealt.select(*names, "__order", "__range", own, F.lit(False).alias("__last"))
-    copies = heads.select(*names, "__order", F.col("__to").alias("__range"), F.lit(True).alias("__copy"), "__last")
+    body = dealt.select(*names, at, part, own, F.lit(False).alias(last))
+    copies = heads.select(*names, at, F.col(to).alias(part), F.lit(True).alias(copy), last)
     together = prepare(body.unionAll(copies))
-    row = Window.partitionBy("__range").orderBy("__last", "__order", "__copy", *columns)
+    row = Window.partitionBy(part).orderBy(last, at, copy, *columns)
     out = together.select("*", *[F.lead(c).over(row).alias(f"next_{c}") for c in columns])
-    return out.where(~F.col("__copy")).drop("__order", "__range", "__copy", "__last")
+    return out.where(~F.col(copy)).drop(at, part, copy, last)
 
 
 def edited(text: Column, following: Column) -> Column:

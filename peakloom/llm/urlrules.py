@@ -23,6 +23,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from peakloom.llm.columns import unused, without
 from peakloom.session import Scratch
 
 MIN_SUPPORT, MIN_CONFIDENCE = 0.02, 0.8
@@ -100,8 +101,13 @@ def judge(
     min_support: float = MIN_SUPPORT,
     min_confidence: float = MIN_CONFIDENCE,
 ) -> DataFrame:
-    """``pages`` with host, path, rule (of the list, or null) and verdict."""
+    """``pages`` with host, path, rule (of the list, or null) and verdict.
+
+    Columns that are called so already, in whatever case, are replaced.
+    """
     scratch = Scratch(pages.sparkSession)
+    pages = without(pages, "host", "path", "rule", "verdict")
+    (name,) = unused(pages, "url")
     key = F.coalesce(F.col("url"), F.lit(""))
     urls = pages.select(key.alias("url")).groupBy("url").agg(F.count(F.lit(1)).alias("rows"))
     urls = urls.withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url")))
@@ -116,7 +122,6 @@ def judge(
     unknown = _with_mined(urls.where(F.col("listed").isNull()), mined, counts)
     unknown = unknown.select("url", "host", "path", "rule", F.coalesce("mined", F.lit(default)).alias("verdict"))
     judged = known.select("url", "host", "path", "rule", F.col("listed").alias("verdict")).unionAll(unknown)
-    judged = scratch.save(judged, "judged").withColumnRenamed("url", "__url")
-    taken = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    joined = pages.select(*taken).withColumn("__url", key).join(judged, "__url")
-    return joined.select(*taken, "host", "path", "rule", "verdict")
+    judged = scratch.save(judged, "judged").withColumnRenamed("url", name)
+    joined = pages.withColumn(name, key).join(judged, name)
+    return joined.select(*pages.columns, "host", "path", "rule", "verdict")

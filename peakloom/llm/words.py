@@ -191,7 +191,7 @@ def shingles(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     odd = [np.uint64((0xD6E8FEB86659FD93 * (2 * j + 1)) % (1 << 64) | 1) for j in range(k)]
     terms = [words.hashes * m for m in odd]
     whole = np.zeros(n, np.uint64)
-    for j in range(k):
+    for j in range(min(k, n)):
         whole[: n - j] += terms[j][j:]
     long = counts >= k
     ends = np.where(long, words.first[1:] - k + 1, words.first[:-1])
