@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from peakloom.catalog import query
 from peakloom.catalog.inputs import EDGES_SQL, LABELS_SQL, PARAMS, SPECTRA_SQL, document_peaks, document_spectra, table
 from peakloom.functions.text import native_id
-from peakloom.operators.cluster import cluster_spectra, medoids, neighbour_pairs
+from peakloom.operators.approximate import IndexParams, approximate_pairs
+from peakloom.operators.cluster import cluster_spectra, medoids, neighbour_pairs, prepare, scored_pairs
 from peakloom.operators.network import merge_shards, network_pairs, prepare_network
 from peakloom.operators.summary import cluster_summary
 from peakloom.plans.incremental import run_batch
@@ -63,6 +64,24 @@ def dbscan_of_four(spark, sf):
     return cluster_spectra(document_spectra(spark, sf), params, Scratch(spark)).assign.select("scan", "temp_cluster")
 
 
+@query(
+    "WITH " + EDGES_SQL + "SELECT count(*) AS n_exact, true AS recalled, 0::BIGINT AS n_wrong, true AS same_cosines FROM edges"
+)
+def approximate_recall(spark, sf):
+    """The index over 64 lists, 16 of them probed, against the exact list: nine pairs of ten, none wrong."""
+    scratch = Scratch(spark)
+    vectors = prepare(document_spectra(spark, sf), PARAMS, scratch)
+    exact = scored_pairs(vectors, PARAMS, scratch).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), "cosine")
+    found = approximate_pairs(vectors, PARAMS, IndexParams(lists=64), scratch).withColumnRenamed("cosine", "found")
+    both = exact.join(found, ["x", "y"], "full")
+    return both.agg(
+        F.count("cosine").alias("n_exact"),
+        (F.count(F.when(F.col("cosine").isNotNull(), F.col("found"))) >= 0.9 * F.count("cosine")).alias("recalled"),
+        F.count(F.when(F.col("cosine").isNull(), 1)).alias("n_wrong"),
+        F.coalesce(F.max(F.abs(F.col("cosine") - F.col("found"))) < 1e-9, F.lit(True)).alias("same_cosines"),
+    )
+
+
 MEDOID_SQL = """,
 sums AS (SELECT temp_cluster, bin, sum(w) AS s FROM vec JOIN label USING (doc_id) GROUP BY ALL),
 score AS (

@@ -37,6 +37,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--similarity", choices=["cosine", "entropy"], default=base.score, help="score of the network's pairs")
     p.add_argument("--max_shift", type=float, default=base.max_shift, help="match shifted peaks up to this precursor difference")
     p.add_argument("--enable_peak_filtering", choices=["Yes", "No"], default="Yes", help="strongest peaks only, in the network")
+    p.add_argument("--search", choices=["exact", "approximate"], default="exact", help="how neighbours are found")
+    p.add_argument("--probes", type=int, default=base.probes, help="lists that an approximate search looks into")
+    p.add_argument("--neighbours", type=int, default=base.neighbours, help="neighbours that an approximate search keeps")
     p.add_argument("--mode", choices=["PERMISSIVE", "DROPMALFORMED", "FAILFAST"], default="PERMISSIVE")
     p.add_argument("--sample_size", type=int, default=base.sample_size)
     p.add_argument("--sample_seed", default=base.sample_seed)
@@ -58,6 +61,9 @@ def main(argv: list[str] | None = None) -> dict:
         min_cosine=args.min_cosine,
         min_matched_peaks=args.min_matched_peaks,
         score=args.similarity,
+        approximate=args.search == "approximate",
+        probes=args.probes,
+        neighbours=args.neighbours,
         max_shift=args.max_shift,
         peak_filter=args.enable_peak_filtering == "Yes",
         sample_size=args.sample_size,

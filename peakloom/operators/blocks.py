@@ -132,6 +132,8 @@ def dot_products(left: Side, right: Side) -> Callable:
 
     def pairs(at_x: np.ndarray, at_y: np.ndarray) -> dict[str, np.ndarray]:
         out = np.zeros(len(at_x))
+        if not len(at_x):
+            return {"cosine": out}
         order = np.argsort(at_x, kind="stable")
         cuts = np.flatnonzero(np.diff(at_x[order])) + 1
         for low, high in zip(np.r_[0, cuts], np.r_[cuts, len(order)], strict=True):

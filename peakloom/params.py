@@ -62,6 +62,9 @@ class ClusterParams:
     score: str = "cosine"
     max_shift: float | None = None
     peak_filter: bool = False
+    approximate: bool = False
+    probes: int = 16
+    neighbours: int = 64
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "precursor_tol", Tolerance.parse(self.precursor_tol))
@@ -73,6 +76,8 @@ class ClusterParams:
             raise ValueError("min_samples counts the spectrum itself and must be 2 or more")
         if not 0 < self.min_cosine <= 1:
             raise ValueError("min_cosine must lie between 0 and 1")
+        if self.probes < 1 or self.neighbours < 1:
+            raise ValueError("probes and neighbours must be positive")
         if self.score not in ("cosine", "entropy"):
             raise ValueError("score is cosine or entropy")
         if self.max_shift is not None and self.max_shift < 0:
