@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 from peakloom.catalog import query
 from peakloom.catalog.inputs import CONSENSUS_SQL, SCAN_LIST_SQL, consensus, scan_list, table
 from peakloom.operators import sample, store, summary
-from peakloom.operators.components import components
 from peakloom.operators.ids import dense_index, highest_id
-from peakloom.operators.rangejoin import tolerance_self_join
+from peakloom.operators.rangejoin import tolerance_chains, tolerance_self_join
 from peakloom.params import Tolerance
 from peakloom.session import Scratch
 
@@ -304,4 +303,5 @@ r AS (SELECT DISTINCT x, x AS y FROM e UNION SELECT r.x, e.y FROM r JOIN e ON r.
 SELECT x AS node, min(y) AS root FROM r GROUP BY x"""
 )
 def mass_components(spark, sf):
-    return components(ppm_join(spark, sf), Scratch(spark), "id_l", "id_r")
+    rows = table(spark, sf, "lineitem").select(_line_key(), "l_suppkey", F.col("l_extendedprice").alias("v"))
+    return tolerance_chains(rows, "v", "id", Tolerance.parse("20 ppm"), Scratch(spark), ["l_suppkey"])

@@ -108,6 +108,20 @@ def test_tolerance_join(spark, scratch, text, chunk):
     assert len(found) == len(set(found)) and set(found) == want
 
 
+@pytest.mark.parametrize("text", ["300 ppm", "0.4 Da"])
+def test_chains_equal_components_of_pairs(spark, scratch, text):
+    rng = np.random.default_rng(9)
+    values = [float(v) for v in np.r_[rng.uniform(100, 2000, 300), np.repeat(500.25, 60), [0.0, 0.0, -1.0, -1.2]]]
+    rows = [(n * 7 % 401, v, n % 3) for n, v in enumerate(values)] + [(900, None, 1), (901, float("nan"), 1), (902, 500.25, None)]
+    df = spark.createDataFrame(rows, "key int, value double, kind int").repartition(5)
+    tol = Tolerance.parse(text)
+    got = {r.node: r.root for r in rangejoin.tolerance_chains(df, "value", "key", tol, scratch, ["kind"]).collect()}
+    pairs = rangejoin.tolerance_self_join(df.where("key < 900"), "value", "key", tol, scratch, ["kind"])
+    want = {r.node: r.root for r in components(pairs.select(F.col("key_l").cast("bigint").alias("a"), F.col("key_r").cast("bigint").alias("b")), scratch, "a", "b").collect()}
+    assert got == want and len(set(want.values())) > 5
+    assert rangejoin.tolerance_chains(df.where("false"), "value", "key", tol, scratch).count() == 0
+
+
 def test_components(spark, scratch):
     rng = np.random.default_rng(4)
     edges = [(n, n + 1) for n in range(0, 60)] + [(100, n) for n in range(101, 160)] + [(int(a), int(b)) for a, b in rng.integers(200, 300, (60, 2))]
