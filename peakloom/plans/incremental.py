@@ -132,6 +132,13 @@ def run_batch(
         scratch.clear()
 
 
+def _all_stored(samples: DataFrame, stored: DataFrame) -> None:
+    """Fail before the commit if a new sample's spectrum is nowhere in the store."""
+    lost = samples.select("path", "scan").join(stored, ["path", "scan"], "left_anti").limit(3).collect()
+    if lost:
+        raise ValueError("sampled spectra are not in the store, among them " + ", ".join(f"{r.path}:{r.scan}" for r in lost))
+
+
 def _run(
     spectra: DataFrame, state: State, batch_id: int, params: ClusterParams, chunk: int, earlier: list[int], scratch: Scratch
 ) -> dict:
@@ -192,7 +199,8 @@ def _run(
         if earlier:  # a member that came again is stored anew where the store holds it
             held = state.read("store").select(*key).join(incoming.select(*key), key, "left_semi")
             stored = lookup(incoming, keep.unionAll(held).distinct())
-        state.write("store", batch_id, stored)
+        stored = state.write("store", batch_id, stored)
+        _all_stored(drawn, state.read("store").select(*key).unionAll(stored.select(*key)))
         state.write("merge_candidates", batch_id, candidates)
         top_id = max(base, max_id(consensus), max_id(added))
     rejected = state.write("rejects", batch_id, state.spark.createDataFrame([], REJECTS) if rejects is None else rejects)

@@ -226,9 +226,9 @@ def only_ms2(chunks: DataFrame) -> DataFrame:
     )
 
 
-def parse_chunks(chunks: DataFrame, mode: str = "DROPMALFORMED") -> DataFrame:
-    """Spectra of text chunks (path, value). ``FAILFAST`` stops at the first bad spectrum;
-    ``PERMISSIVE`` keeps bad ones as rows with ``index`` and ``error``; the default leaves them out."""
+def parse_chunks(chunks: DataFrame, mode: str = "PERMISSIVE") -> DataFrame:
+    """Spectra of text chunks (path, value). The default keeps bad ones as rows with ``index`` and ``error``;
+    ``FAILFAST`` stops at the first, ``DROPMALFORMED`` leaves them out."""
     parsed = chunks.mapInArrow(_decode, PARSED).withColumn("filename", basename(F.col("path")))
     columns = [f.name for f in schemas.SPECTRUM.fields]
     if mode == "PERMISSIVE":
@@ -243,13 +243,13 @@ def parse_chunks(chunks: DataFrame, mode: str = "DROPMALFORMED") -> DataFrame:
 
 
 def read_mzml(
-    spark: SparkSession, paths: str | list[str], mode: str = "DROPMALFORMED", recursive: bool = False
+    spark: SparkSession, paths: str | list[str], mode: str = "PERMISSIVE", recursive: bool = False
 ) -> DataFrame:
     """MS2 spectra of mzML files or folders (layout ``schemas.SPECTRUM``), times in seconds."""
     return parse_chunks(_chunks(spark, paths, recursive), mode)
 
 
-def stream_mzml(spark: SparkSession, folder: str, mode: str = "DROPMALFORMED", files_per_trigger: int = 1000) -> DataFrame:
+def stream_mzml(spark: SparkSession, folder: str, mode: str = "PERMISSIVE", files_per_trigger: int = 1000) -> DataFrame:
     """The same reader over a landing folder, as a stream of new files."""
     text = (
         spark.readStream.option("lineSep", "</spectrum>")

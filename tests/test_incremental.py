@@ -249,3 +249,11 @@ def test_rejects_of_a_batch(spark, tmp_path):
     assert (facts["n_incoming"], facts["rejected"]) == (2, {"ValueError": 1})
     row = state.read("rejects").head()
     assert row.path.endswith("/a.mzML") and row["index"] == 2 and "no selected precursor ion" in row.error
+
+
+def test_samples_that_are_not_stored_end_the_batch(spark, tmp_path):
+    """A sample whose spectrum the store lost stops the batch before its commit."""
+    samples = spark.createDataFrame([("a", 1), ("a", 2)], "path string, scan bigint")
+    incremental._all_stored(samples, samples)
+    with pytest.raises(ValueError, match="a:2"):
+        incremental._all_stored(samples, samples.where("scan = 1"))
