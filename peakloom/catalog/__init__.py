@@ -25,4 +25,4 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def load() -> None:
-    from peakloom.catalog import clustering, merging, scalar, tables  # noqa: F401
+    from peakloom.catalog import clustering, merging, results, scalar, tables  # noqa: F401

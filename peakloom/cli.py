@@ -11,7 +11,7 @@ import argparse
 from peakloom import __version__
 from peakloom.params import ClusterParams
 from peakloom.plans.incremental import export_results, run_batch
-from peakloom.plans.state import State
+from peakloom.plans.state import APPENDED, State
 from peakloom.session import build_session
 from peakloom.sources.mzml import read_mzml
 
@@ -44,6 +44,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--sample_size", type=int, default=base.sample_size)
     p.add_argument("--sample_seed", default=base.sample_seed)
     p.add_argument("--min_samples", type=int, default=base.min_samples)
+    p.add_argument("--compact", choices=["Yes", "No"], default="No", help="compact the tables of all batches afterwards")
     return p
 
 
@@ -76,6 +77,9 @@ def main(argv: list[str] | None = None) -> dict:
     batch = args.batch if args.batch is not None else (done[-1] + 1 if done else 0)
     facts = run_batch(read_mzml(spark, args.folder, args.mode), state, batch, params)
     export_results(state, batch, args.output_dir.rstrip("/"), params)
+    if args.compact == "Yes":
+        for table in APPENDED:
+            state.compact(table)
     return facts
 
 

@@ -125,7 +125,9 @@ def merge_clusters(
     """Later batch: ``base`` is the largest cluster id on entry.
 
     ``representatives`` (by temp_cluster) come back under lasting ids; those of noise or of
-    unmapped clusters are left out. ``clusters`` is the table to check known ids against.
+    unmapped clusters are left out. Samples may lie apart from their representative, so that two
+    temporary clusters stand for one known; the first of them gives its representative.
+    ``clusters`` is the table to check known ids against.
     """
     rows = routed(rows)
     mapping = scratch.save(id_map(rows, base, scratch), "id-map")
@@ -136,7 +138,8 @@ def merge_clusters(
     singles = rows.where(F.col("route") == "noise")
     lasting = None
     if representatives is not None:
-        lasting = representatives.where(F.col("temp_cluster") != NOISE).join(ids, "temp_cluster").drop("temp_cluster")
+        firsts = ids.groupBy("cluster_id").agg(F.min("temp_cluster").alias("temp_cluster"))
+        lasting = representatives.where(F.col("temp_cluster") != NOISE).join(firsts, "temp_cluster").drop("temp_cluster")
     if singletons_as_clusters:
         members, singles = _singles_to_clusters(members, singles, base, scratch)
     return Merge(members, singles, mapping, lasting, met_clusters(rows))

@@ -176,10 +176,76 @@ def test_results_and_exports(spark, run, tmp_path):
     assert (tmp_path / "timing_report.json").exists()
 
 
-def test_compaction_keeps_the_last_write(spark, run, tmp_path):
-    state, *_ = run
-    rows = state.compact_store("file://" + str(tmp_path / "compact"))
-    assert rows.count() == state.store().count() == state.read("store").select("path", "scan").distinct().count()
+def _spectra(spark, rows):
+    return spark.createDataFrame([(p, n, float(m)) for p, n, m in rows], "path string, scan long, precursor_mz double")
+
+
+def _written(state, batch, rows):
+    frame = _spectra(state.spark, rows).withColumn("batch_id", F.lit(batch).cast("bigint"))
+    state.write("store", batch, frame)
+    state.commit(batch)
+
+
+def _masses(df):
+    return {(r.path, r.scan): r.precursor_mz for r in df.collect()}
+
+
+def test_readers_adopt_a_compacted_store(spark, tmp_path):
+    state = State(spark, "file://" + str(tmp_path))
+    assert not state.compact("store") and state.drop_replaced("store") == []
+    _written(state, 0, [("a", 1, 1), ("b", 2, 2)])
+    _written(state, 1, [("b", 2, 20), ("c", 3, 3)])
+    held = {("a", 1): 1, ("b", 2): 20, ("c", 3): 3}
+    assert state.compact("store") and not state.compact("store")
+    assert len(state.live_folders("store")) == 1 and "compact-1-" in state.live_folders("store")[0]
+    assert _masses(state.read("store")) == _masses(state.store()) == held
+    assert state.drop_replaced("store") == ["batch=0", "batch=1"]
+    assert _masses(state.store()) == held
+    # a later batch is read beside it, one that is not committed is neither read nor dropped
+    _written(state, 2, [("a", 1, 10)])
+    state.write("store", 3, _spectra(spark, [("z", 9, 9)]).withColumn("batch_id", F.lit(3)))
+    assert len(state.live_folders("store")) == 2
+    assert _masses(state.store()) == {**held, ("a", 1): 10}
+    assert state.compact("store")
+    assert sorted(n[:7] for n in state.drop_replaced("store")) == ["batch=2", "compact"]
+    assert _masses(state.read("store")) == {**held, ("a", 1): 10}
+    assert (tmp_path / "store" / "batch=3").exists()
+    with pytest.raises(ValueError, match="replaced by each batch"):
+        state.compact("consensus")
+
+
+def test_a_compaction_lost_before_its_record_changes_nothing(spark, tmp_path, monkeypatch):
+    state = State(spark, "file://" + str(tmp_path))
+    _written(state, 0, [("a", 1, 1)])
+    monkeypatch.setattr("peakloom.plans.state.write_text", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        state.compact("store")
+    monkeypatch.undo()
+    assert [f.rsplit("/", 1)[1] for f in state.live_folders("store")] == ["batch=0"]
+    assert state.compact("store") and _masses(state.read("store")) == {("a", 1): 1}
+    assert {n[:7] for n in state.drop_replaced("store")} == {"batch=0", "compact"}
+
+
+def test_point_reads(spark, tmp_path):
+    state = State(spark, "file://" + str(tmp_path))
+    _written(state, 0, [("a", 1, 1), ("b", 2, 2)])
+    _written(state, 1, [("b", 2, 20)])
+    assert _masses(state.spectrum("b", 2)) == {("b", 2): 20}
+    assert state.spectrum("b", 1).count() == 0
+    plan = state.spectrum("b", 2)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(path,b)" in plan and "EqualTo(scan,2)" in plan
+
+
+def test_one_representative_where_samples_lie_apart(spark, scratch):
+    """Two temporary clusters stand for known cluster 7: one holds its representative, one a sample."""
+    rows = spark.createDataFrame(
+        [(0, "s", 4, "sample", 7), (0, "d", 5, "batch", None), (1, "consensus_7", 7, "consensus", 7), (1, "d", 6, "batch", None)],
+        "temp_cluster long, path string, scan long, source string, ref_cluster long",
+    )
+    reps = spark.createDataFrame([(0, "first"), (1, "second")], "temp_cluster long, title string")
+    got = merge_clusters(rows, 7, scratch, reps)
+    assert [tuple(r) for r in got.representatives.select("cluster_id", "title").collect()] == [(7, "first")]
+    assert {(r.cluster_id, r.scan) for r in got.members.collect()} == {(7, 5), (7, 6)}
 
 
 def test_merge_of_an_imported_result(spark, scratch):
