@@ -310,7 +310,9 @@ now AS (
 SELECT source, lang, tokenizer, count(*)::BIGINT AS n_docs, sum(tokens)::BIGINT AS n_tokens FROM now GROUP BY ALL
 """)
 def op5_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three batches: all documents; exact copies go; counts without repeated lines. The first is sent twice."""
+    """Three batches: all documents; exact copies go; counts without repeated lines.
+
+    The history is compacted before the last one, and the first is sent again after it."""
     scratch = Scratch(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
     once = F.array_join(F.array_distinct(F.split("text", "\n")), "\n")
@@ -334,6 +336,7 @@ def op5_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     load = rollup.counts(counted, {"words-1": F.col("words"), "bytes-1": F.col("bytes")})
     store.commit("load", load)
     store.commit("copies", rollup.counts(copies, {"words-1": F.lit(0), "bytes-1": F.lit(0)}, change="delete"))
+    store.compact()
     revised = kept.where(F.col("words_once").isNotNull())
     store.commit("lines", rollup.counts(revised, {"words-1": F.col("words_once"), "bytes-1": F.col("bytes_once")}, change="revise"))
     store.commit("load", load)

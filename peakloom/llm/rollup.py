@@ -2,11 +2,14 @@
 
 A batch brings changes: inserts, deletes and revised counts of documents. Each becomes at most two signed rows in a
 ledger, minus what the ledger held for the document and plus what holds now. Totals are sums of signed rows, so a
-batch only adds its own sums to them; no earlier document is read again, save the ledger rows of the documents that
-the batch touches.
+batch only adds its own sums to them. Of the ledger only keys and counts of the documents that the batch touches are
+moved and summed; no text is read again. ``compact`` replaces the history by one net row for each live document.
 
-A batch counts once its record stands under ``_commits``. The record is created last and only if there is none, so a
-batch that is sent again, or a run that was lost half way and is repeated, changes nothing or counts once.
+A batch counts once its record stands under ``_commits``. Records are numbered; each says on which one it builds, and
+takes the next number only if nobody else has. It is written aside and renamed, so it is whole or not there. A batch
+that is sent again changes nothing, a run that was lost half way and is repeated counts once, and of two batches at
+once the slower one is worked out anew on what the faster one has left. This relies on a file system that does not
+rename onto an existing file, as HDFS; a plain local folder only has a look right before the rename.
 
 Totals are combined before the shuffle; a source with a third of all rows costs no more than others.
 
@@ -25,7 +28,7 @@ from urllib.parse import quote
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peakloom.session import list_names, read_text
+from peakloom.session import delete, list_names, read_text
 
 KEY = ["doc_id", "tokenizer"]
 GROUP = ["source", "lang", "tokenizer"]
@@ -50,74 +53,103 @@ class TokenRollup:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def _records(self) -> dict[str, str]:
-        """Folder of each committed batch."""
-        names = list_names(self.spark, f"{self.path}/_commits")
-        return {n: json.loads(read_text(self.spark, f"{self.path}/_commits/{n}"))["folder"] for n in names}
+    def _records(self) -> list[dict]:
+        """The records in order: ``batch`` (null for a compaction) and ``folder``."""
+        names = [n for n in list_names(self.spark, f"{self.path}/_commits") if n.endswith(".json")]
+        return [json.loads(read_text(self.spark, f"{self.path}/_commits/{n}")) for n in names]
 
-    def _read(self, kind: str) -> DataFrame | None:
-        folders = [f"{self.path}/{kind}/{folder}" for folder in self._records().values()]
+    def _read(self, kind: str, records: list[dict] | None = None) -> DataFrame | None:
+        records = self._records() if records is None else records
+        start = max((n for n, r in enumerate(records) if r["batch"] is None), default=0)
+        folders = [f"{self.path}/{kind}/{r['folder']}" for r in records[start:]]
         return self.spark.read.parquet(*folders) if folders else None
 
-    def live(self) -> DataFrame | None:
-        """What the ledger holds: doc_id, tokenizer, source, lang, tokens."""
-        ledger = self._read("ledger")
+    def live(self, touched: DataFrame | None = None, records: list[dict] | None = None) -> DataFrame | None:
+        """What the ledger holds, of all documents or of the ``touched`` keys: doc_id, tokenizer, source, lang, tokens."""
+        ledger = self._read("ledger", records)
         if ledger is None:
             return None
+        if touched is not None:
+            keys = touched.select(*[F.col(k).alias(f"_{k}") for k in KEY])
+            ledger = ledger.join(keys, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KEY], "left_semi")
         held = ledger.groupBy(*KEY, "source", "lang").agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
         return held.where(F.col("docs") > 0).drop("docs")
 
-    def totals(self) -> DataFrame:
+    def totals(self, records: list[dict] | None = None) -> DataFrame:
         """source, lang, tokenizer, n_docs, n_tokens of all committed batches; groups without documents are left out."""
-        sums = self._read("totals")
+        sums = self._read("totals", records)
         if sums is None:
             schema = "source string, lang string, tokenizer string, n_docs bigint, n_tokens bigint"
             return self.spark.createDataFrame([], schema)
         added = sums.groupBy(*GROUP).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
         return added.where((F.col("n_docs") != 0) | (F.col("n_tokens") != 0))
 
-    def _signed(self, changes: DataFrame) -> DataFrame:
+    def _signed(self, changes: DataFrame, records: list[dict]) -> DataFrame:
         order = F.struct("seq", "change", "tokens", "source", "lang")
         last = changes.withColumn("tokens", F.coalesce("tokens", F.lit(0)).cast("long"))
         last = last.groupBy(*KEY).agg(F.max(order).alias("last")).select(*KEY, "last.*")
         plus = last.where(F.col("change") != "delete").select(*KEY, "source", "lang", F.lit(1).cast("long").alias("docs"), "tokens")
-        held = self.live()
-        if held is None:
+        minus = self.live(last, records)
+        if minus is None:
             return plus
-        touched = last.select(*[F.col(k).alias(f"_{k}") for k in KEY])
-        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KEY]
-        minus = held.join(touched, same, "left_semi")
         minus = minus.select(*KEY, "source", "lang", F.lit(-1).cast("long").alias("docs"), (-F.col("tokens")).alias("tokens"))
         return plus.unionAll(minus)
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Add a batch of changes (doc_id, tokenizer, source, lang, change, tokens, seq); False if it counts already."""
-        name = quote(batch, safe="")
-        if name in self._records():
-            return False
         wrong = changes.where(F.col("change").isNull() | ~F.col("change").isin(*KINDS)).limit(1).count()
         if wrong:
             raise ValueError(f"changes must be one of {KINDS}")
-        folder = f"{name}-{uuid.uuid4().hex}"
-        self._signed(changes).write.parquet(f"{self.path}/ledger/{folder}")
-        signed = self.spark.read.parquet(f"{self.path}/ledger/{folder}")
-        sums = signed.groupBy(*GROUP).agg(F.sum("docs").alias("n_docs"), F.sum("tokens").alias("n_tokens"))
-        sums.write.parquet(f"{self.path}/totals/{folder}")  # one row a group, small partitions are merged by re-planning
-        return self._record(name, folder)
-
-    def _record(self, name: str, folder: str) -> bool:
-        """Create the record; False if another run has been faster, whose batch then counts."""
+        while True:  # once, and again for each batch that came in between
+            records = self._records()
+            if any(r["batch"] == batch for r in records):
+                return False
+            folder = f"{quote(batch, safe='')}-{uuid.uuid4().hex}"
+            self._signed(changes, records).write.parquet(f"{self.path}/ledger/{folder}")
+            signed = self.spark.read.parquet(f"{self.path}/ledger/{folder}")
+            sums = signed.groupBy(*GROUP).agg(F.sum("docs").alias("n_docs"), F.sum("tokens").alias("n_tokens"))
+            sums.write.parquet(f"{self.path}/totals/{folder}")  # one row a group, small partitions are merged by re-planning
+            if self._record(len(records), {"batch": batch, "folder": folder}):
+                return True
+            self._drop(folder)
+
+    def compact(self) -> bool:
+        """One net ledger row for each live document and one total for each group in place of the history.
+
+        Records of batches stay, so a batch that is sent again is still known. False, and nothing done, if there is
+        no history or a batch came in between.
+        """
+        records = self._records()
+        if not records or records[-1]["batch"] is None:
+            return False
+        folder = f"net-{uuid.uuid4().hex}"
+        net = self.live(records=records).withColumn("docs", F.lit(1).cast("long"))
+        net.select(*KEY, "source", "lang", "docs", "tokens").write.parquet(f"{self.path}/ledger/{folder}")
+        self.totals(records).write.parquet(f"{self.path}/totals/{folder}")
+        if self._record(len(records), {"batch": None, "folder": folder}):
+            return True
+        self._drop(folder)
+        return False
+
+    def _drop(self, folder: str) -> None:
+        for kind in ("ledger", "totals"):
+            delete(self.spark, f"{self.path}/{kind}/{folder}")
+
+    def _record(self, number: int, facts: dict) -> bool:
+        """Take the number for this record; False if another one has it."""
         jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_commits/{name}")
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_commits/{number:012d}.json")
+        side = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_commits/.{uuid.uuid4().hex}")
         system = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if system.exists(path):
-            return False
-        stream = system.create(path, False)
+        stream = system.create(side, False)
         try:
-            stream.write(json.dumps({"folder": folder}).encode())
+            stream.write(json.dumps(facts).encode())
         finally:
             stream.close()
-        return True
+        if not system.exists(path) and system.rename(side, path):
+            return True
+        system.delete(side, False)
+        return False
 
 
 def counts(docs: DataFrame, tokenizers: dict[str, Column], change: str = "insert", seq: int = 0) -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 import pytest
 
 from peakloom.llm.rollup import TokenRollup, byte_count, counts, word_count
-from peakloom.session import Scratch
+from peakloom.session import Scratch, list_names, write_text
 
 SCHEMA = "doc_id bigint, tokenizer string, source string, lang string, change string, tokens bigint, seq int, extra string"
 
@@ -37,6 +37,8 @@ def test_against_a_dictionary(spark):
         for (_, tokenizer), (source, lang, tokens) in held.items():
             expected[source, lang, tokenizer] += tokens
             docs[source, lang, tokenizer] += 1
+        if batch == 2:
+            assert store.compact() and not store.compact()
         got = {(r.source, r.lang, r.tokenizer): (r.n_docs, r.n_tokens) for r in store.totals().collect()}
         assert got == {k: (docs[k], expected[k]) for k in docs}
     scratch.clear()
@@ -85,3 +87,63 @@ def test_many_sources_are_summed_in_several_tasks(spark):
         spark.conf.set(name, before)
     files = spark.read.parquet(f"{store.path}/totals/*").select(F.input_file_name()).distinct().count()
     assert files > 1 and store.totals().count() == 500
+
+
+def _one(spark, doc, source, tokens, change="insert"):
+    return spark.createDataFrame([(doc, "t", source, "en", change, tokens, 0, None)], SCHEMA)
+
+
+def _totals(store):
+    return {r.source: (r.n_docs, r.n_tokens) for r in store.totals().collect()}
+
+
+def test_a_record_is_whole_or_not_there(spark):
+    """A record that was lost while it was written has another name and is not looked at."""
+    store = TokenRollup(spark, f"{Scratch(spark).root}/rollup")
+    assert store.commit("one", _one(spark, 1, "a", 5))
+    write_text(spark, f"{store.path}/_commits/.lost", "")
+    write_text(spark, f"{store.path}/_commits/.half", '{"batch": "tw')
+    assert _totals(store) == {"a": (1, 5)}
+    assert store.commit("two", _one(spark, 2, "a", 6)) and _totals(store) == {"a": (2, 11)}
+
+
+@pytest.mark.parametrize("other", ["other", "mine"])
+def test_two_batches_at_once(spark, monkeypatch, other):
+    """While a batch is written another one is committed that touches the same document, or the same batch is."""
+    store = TokenRollup(spark, f"{Scratch(spark).root}/rollup")
+    assert store.commit("first", _one(spark, 1, "a", 5))
+    real, done = TokenRollup._record, []
+
+    def slow(self, number, facts):
+        if not done:
+            done.append(number)
+            assert TokenRollup(spark, store.path).commit(other, _one(spark, 1, "b", 7))
+        return real(self, number, facts)
+
+    monkeypatch.setattr(TokenRollup, "_record", slow)
+    assert store.commit("mine", _one(spark, 1, "c", 9)) == (other != "mine")
+    assert _totals(store) == ({"c": (1, 9)} if other != "mine" else {"b": (1, 7)})
+    # what the slower run had written is gone
+    assert len(list_names(spark, f"{store.path}/ledger")) == len(store._records())
+
+
+def test_compaction_replaces_the_history(spark):
+    store = TokenRollup(spark, f"{Scratch(spark).root}/rollup")
+    assert not store.compact()
+    for n in range(4):
+        assert store.commit(f"b{n}", _one(spark, n % 2, f"s{n}", n))
+    before = _totals(store)
+    assert before == {"s2": (1, 2), "s3": (1, 3)} and store._read("ledger").count() == 6
+    assert store.compact() and _totals(store) == before and store._read("ledger").count() == 2
+    assert not store.commit("b0", _one(spark, 0, "s0", 0))
+    assert store.commit("gone", _one(spark, 0, None, 0, "delete")) and _totals(store) == {"s3": (1, 3)}
+    assert store.compact() and _totals(store) == {"s3": (1, 3)}
+
+
+def test_only_touched_keys_are_summed(spark):
+    """The ledger is cut to the keys of the batch before it is summed."""
+    store = TokenRollup(spark, f"{Scratch(spark).root}/rollup")
+    assert store.commit("one", _one(spark, 1, "a", 5))
+    plan = store._signed(_one(spark, 1, "a", 6), store._records())._jdf.queryExecution().optimizedPlan().toString()
+    ledger = plan[: plan.index("LeftSemi")].rsplit("Union", 1)[1]
+    assert "Aggregate" in ledger and "LeftSemi" in plan
