@@ -4,7 +4,7 @@ from helpers import dbscan, random_spectra, spectra_frame, vector
 from pyspark.sql import functions as F
 
 from peakloom.functions.peaks import hash_bin, vectorise
-from peakloom.operators import rangejoin
+from peakloom.operators import cluster, rangejoin
 from peakloom.operators.cluster import cluster_spectra, prepare
 from peakloom.operators.components import components
 from peakloom.operators.ids import dense_index
@@ -342,8 +342,14 @@ def test_spectra_that_share_one_strong_peak_do_not_all_meet(spark, scratch):
     assert cluster_spectra(spectra_frame(spark, rows), ClusterParams(), scratch).assign.where("temp_cluster >= 0").count() == 0
 
 
-def test_neighbourhood_of_four_equals_brute_force(spark, scratch):
+@pytest.mark.parametrize("copied", [False, True])
+def test_neighbourhood_of_four_equals_brute_force(spark, scratch, copied):
     rows = random_spectra(11, 10, 5, jitter=6e-6)
+    if copied:
+        alone = dict(rows[0], precursor_mz=900.0, mz=[77.0, 78.0], intensity=[1.0, 2.0])
+        extra = [rows[n] for n in range(0, len(rows), 4) for _ in range(1 + n % 3)]
+        extra += [alone] * 4 + [dict(alone, precursor_mz=950.0)] * 3
+        rows = rows + [dict(r, scan=1000 - n) for n, r in enumerate(extra)]
     params = ClusterParams(min_samples=4)
     vecs = [vector(r, params.fragment_tol) for r in rows]
     near = {n: {} for n in range(len(rows))}
@@ -372,3 +378,20 @@ def test_neighbourhood_of_four_equals_brute_force(spark, scratch):
             found.setdefault(label, set()).add(n)
             want.setdefault(group[n], set()).add(n)
     assert sorted(map(sorted, found.values())) == sorted(map(sorted, want.values())) and len(want) > 3
+
+
+def test_core_counting_does_not_list_pairs_of_copies(spark, scratch, monkeypatch):
+    """A spectrum with 5,000 copies is one row where pairs are sought; near ones join it, three others are too few."""
+    one = dict(path="/d/a.mzML", scan=1, precursor_mz=500.0, charge=2, mz=[150.0, 250.0], intensity=[3.0, 4.0])
+    frame = spectra_frame(spark, [one]).withColumn("scan", F.explode(F.expr("sequence(1L, 5000L)")))
+    others = [dict(one, scan=6000, intensity=[3.0, 4.1]), dict(one, scan=6001, mz=[150.0, 250.0, 260.0], intensity=[3.0, 4.0, 0.1])]
+    few = [dict(one, scan=7000 + n, precursor_mz=700.0) for n in range(3)]
+    sought = []
+    real = cluster.scored_pairs
+    monkeypatch.setattr(cluster, "scored_pairs", lambda vectors, *rest: sought.append(vectors.count()) or real(vectors, *rest))
+    every = frame.unionByName(spectra_frame(spark, [*others, *few]))
+    got = cluster_spectra(every.repartition(4), ClusterParams(min_samples=4), scratch)
+    assert sought == [4]
+    sizes = {r.temp_cluster: r["count"] for r in got.assign.groupBy("temp_cluster").count().collect()}
+    assert sizes == {0: 5002, -1: 3}
+    assert [(r.temp_cluster, r.scan) for r in got.representatives.collect()] == [(0, 1)]
