@@ -79,8 +79,8 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = bpe.encode(docs, path, public_tokenizers.PATTERN).select("doc_id", "ids")
-    return bpe.decode(ids, path).select(
+    # each text is encoded, and its ids decoded, while it is in the task
+    return bpe.encode(docs, path, public_tokenizers.PATTERN, decoded="decoded").select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
