@@ -20,12 +20,14 @@ def folder(tmp_path, name, scans, seed):
 
 
 def test_command_line_runs_two_batches(spark, tmp_path):
-    args = ["--checkpoint_dir", f"file://{tmp_path}/state", "--eps", "0.1"]
+    args = ["--checkpoint_dir", f"file://{tmp_path}/state", "--eps", "0.1", "--compact", "Yes"]
     for n, scans in enumerate(([1, 2, 3], [4, 5, 6, 7])):
         source = folder(tmp_path, f"in{n}", scans, n)
         facts = cli.main(["--folder", str(source), "--output_dir", f"file://{tmp_path}/out{n}", *args])
         assert facts["batch_id"] == n and facts["n_members"] == len(scans) and facts["n_singletons"] == n + 1
-    assert facts["max_cluster_id"] == 1
+        state = State(spark, f"file://{tmp_path}/state")  # the second batch reads what the first has compacted
+        assert all(len(state.live_folders(t)) == 1 for t in ("scan_list", "store", "sample_list", "rejects"))
+    assert facts["max_cluster_id"] == 1 and state.read("scan_list").count() == 7
     for name in ("cluster_info.tsv", "cluster_summary.tsv", "consensus", "singletons", "networking/merged_pairs.tsv"):
         assert (tmp_path / "out1" / name).exists()
 
