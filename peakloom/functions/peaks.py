@@ -16,6 +16,7 @@ from peakloom.params import ClusterParams
 # Fixed values of the multiplicative (golden ratio) hash on 32 bits.
 HASH_FACTOR = 2654435761
 HASH_SPACE = 4294967296
+VECTORISED = 1 << 18  # peaks of the rows that are vectorised at once, about
 
 
 def as_pairs(mz: Column, intensity: Column) -> Column:
@@ -69,6 +70,15 @@ def list_lengths(column: pa.Array) -> np.ndarray:
     return pa.compute.fill_null(pa.compute.list_value_length(column), 0).to_numpy(zero_copy_only=False)
 
 
+def runs(sizes: np.ndarray, most: int) -> Iterator[slice]:
+    """Consecutive rows that hold about ``most`` elements together; a larger row stands alone."""
+    total, start = np.r_[0, np.cumsum(sizes)], 0
+    while start < len(sizes):
+        stop = max(start + 1, int(np.searchsorted(total, total[start] + most, "right")) - 1)
+        yield slice(start, stop)
+        start = stop
+
+
 def list_column(values: np.ndarray, rows: np.ndarray, count: int, kind: pa.DataType) -> pa.Array:
     """Inverse of ``list_parts``; ``rows`` must be sorted."""
     offsets = np.searchsorted(rows, np.arange(count + 1)).astype(np.int32)
@@ -79,10 +89,11 @@ def vectorise(df: DataFrame, params: ClusterParams) -> DataFrame:
     """Add ``bins`` and ``weights``: binned, optionally hashed, unit-length peak vectors.
 
     Peaks outside the m/z range or not finite do not count; spectra whose remaining peaks span
-    less than ``min_mz_range`` are left out. A map-only Arrow kernel: no shuffle of peaks.
+    less than ``min_mz_range`` are left out. A map-only Arrow kernel: no shuffle of peaks. Arrays are made for
+    runs of rows of bounded peaks, so that memory does not follow the peaks of a batch.
     """
     min_mz, max_mz, width = params.min_mz, params.max_mz, params.fragment_tol
-    min_range, hash_len = params.min_mz_range, params.hash_len
+    min_range, hash_len, most = params.min_mz_range, params.hash_len, VECTORISED
     schema = T.StructType(
         [
             *df.schema.fields,
@@ -91,8 +102,13 @@ def vectorise(df: DataFrame, params: ClusterParams) -> DataFrame:
         ]
     )
 
-    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            for rows in runs(list_lengths(batch.column("mz")), most):
+                yield batch.slice(rows.start, rows.stop - rows.start)
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
             count = batch.num_rows
             mz, rows = list_parts(batch.column("mz"))
             inten, rows_i = list_parts(batch.column("intensity"))

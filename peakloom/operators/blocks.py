@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peakloom.functions.peaks import list_lengths
+from peakloom.functions.peaks import list_lengths, runs
 from peakloom.operators.ids import dense_index
 from peakloom.session import Scratch
 
@@ -48,15 +48,6 @@ class Lists:
         return np.arange(len(number)) - start[number] + self.offsets[rows][number], number
 
 
-def runs(sizes: np.ndarray, most: int) -> Iterator[slice]:
-    """Consecutive rows that hold about ``most`` elements together; a larger row stands alone."""
-    total, start = np.r_[0, np.cumsum(sizes)], 0
-    while start < len(sizes):
-        stop = max(start + 1, int(np.searchsorted(total, total[start] + most, "right")) - 1)
-        yield slice(start, stop)
-        start = stop
-
-
 def block_count(rows: int, partitions: int, most: int = BLOCK, near: bool = False, least: int = 64) -> int:
     """Blocks of at most ``most`` rows, and enough of them that their pairs fill all partitions.
 
