@@ -19,11 +19,13 @@ from xml.etree import ElementTree
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from peakloom import schemas
+from peakloom.functions.peaks import runs
 from peakloom.functions.text import basename
 
 # Accessions of the controlled vocabulary used in mzML files.
@@ -170,10 +172,22 @@ def _read_header(path: str) -> str:
     return text
 
 
+# Characters of text that are parsed at once, about.
+PARSED_AT_ONCE = 1 << 22
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of rows of bounded text, so that memory does not follow the rows of a batch."""
+    for batch in batches:
+        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column("value")), 0).to_numpy(zero_copy_only=False)
+        for rows in runs(sizes, PARSED_AT_ONCE):
+            yield batch.slice(rows.start, rows.stop - rows.start)
+
+
 def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cache: dict[str, dict] = {}
     names = [f.name for f in PARSED.fields]
-    for batch in batches:
+    for batch in _pieces(batches):
         rows: list[dict] = []
         for path, chunk in zip(batch.column("path").to_pylist(), batch.column("value").to_pylist(), strict=True):
             found = _TAG.search(chunk)

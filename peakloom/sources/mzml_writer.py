@@ -15,9 +15,12 @@ from dataclasses import dataclass
 from xml.sax.saxutils import quoteattr
 
 import numpy as np
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
+from peakloom.functions.peaks import VECTORISED, list_lengths, runs
 from peakloom.session import qualified
 from peakloom.sources.mzml import file_system
 
@@ -28,17 +31,23 @@ def _cv(accession: str, name: str, value: object = "", unit: str = "") -> str:
     return f'<cvParam cvRef="MS" accession="{accession}" name="{name}" value="{value}"{unit}/>'
 
 
+def _encoded(values) -> str:
+    return base64.b64encode(zlib.compress(np.asarray(values, dtype="<f8").tobytes())).decode()
+
+
 def _binary(values, accession: str, name: str) -> str:
-    data = base64.b64encode(zlib.compress(np.asarray(values, dtype="<f8").tobytes())).decode()
+    data = values if isinstance(values, str) else _encoded(values)
     terms = _cv("MS:1000523", "64-bit float") + _cv("MS:1000574", "zlib compression") + _cv(accession, name)
     return f'<binaryDataArray encodedLength="{len(data)}">{terms}<binary>{data}</binary></binaryDataArray>'
 
 
 def spectrum_xml(index: int, row) -> str:
+    """``row`` has arrays, or those of ``packed``."""
     mz, intensity = row["mz"] or [], row["intensity"] or []
+    count = row["n_peaks"] if isinstance(mz, str) else len(mz)
     second = ' unitCvRef="UO" unitAccession="UO:0000010" unitName="second"'
     return (
-        f'<spectrum index="{index}" id={quoteattr(row["native_id"])} defaultArrayLength="{len(mz)}">'
+        f'<spectrum index="{index}" id={quoteattr(row["native_id"])} defaultArrayLength="{count}">'
         + _cv("MS:1000511", "ms level", 2)
         + _cv("MS:1000127", "centroid spectrum")
         + '<scanList count="1"><scan>'
@@ -53,11 +62,34 @@ def spectrum_xml(index: int, row) -> str:
     )
 
 
-def document(spectra: list[str]) -> str:
-    return (
-        '<?xml version="1.0" encoding="utf-8"?>\n<mzML xmlns="http://psi.hupo.org/ms/mzml" version="1.1.0">\n'
-        f'<run id="run"><spectrumList count="{len(spectra)}">\n' + "".join(spectra) + "</spectrumList></run>\n</mzML>\n"
-    )
+def packed(df: DataFrame) -> DataFrame:
+    """Spectra with the peaks as the text that goes into a file, and ``n_peaks``: rows of Python stay small. Map-only."""
+    lists = ["mz", "intensity"]
+    table = df.select(*COLUMNS)
+    fields = [T.StructField(f.name, T.StringType()) if f.name in lists else f for f in table.schema.fields]
+    schema = T.StructType([*fields, T.StructField("n_peaks", T.LongType())])
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in runs(list_lengths(batch.column("mz")), VECTORISED):
+                part = batch.slice(rows.start, rows.stop - rows.start)
+                columns = {n: part.column(n) for n in COLUMNS}
+                for name in lists:
+                    lengths = list_lengths(part.column(name))
+                    pieces = np.split(part.column(name).flatten().to_numpy(zero_copy_only=False), np.cumsum(lengths)[:-1])
+                    columns[name] = pa.array([_encoded(v) for v in pieces], pa.string())
+                columns["n_peaks"] = pa.array(list_lengths(part.column("mz")), pa.int64())
+                yield pa.RecordBatch.from_pydict(columns)
+
+    return table.mapInArrow(kernel, schema)
+
+
+def document(spectra: list[str]) -> Iterator[str]:
+    """The text of a document in parts, so that it is never whole in memory."""
+    yield '<?xml version="1.0" encoding="utf-8"?>\n<mzML xmlns="http://psi.hupo.org/ms/mzml" version="1.1.0">\n'
+    yield f'<run id="run"><spectrumList count="{len(spectra)}">\n'
+    yield from spectra
+    yield "</spectrumList></run>\n</mzML>\n"
 
 
 @dataclass
@@ -89,7 +121,8 @@ class MzMLWriter(DataSourceWriter):
         def flush() -> None:
             name = f"{self.prefix}-{task.partitionId():05d}-{task.taskAttemptId()}-{len(names):04d}.mzML"
             with system.open_output_stream(f"{folder}/{name}") as out:
-                out.write(document(pending).encode())
+                for part in document(pending):
+                    out.write(part.encode())
             names.append(name)
             pending.clear()
 
@@ -142,6 +175,6 @@ def write_mzml(df, folder: str, prefix: str = "part", max_records: int = 5000) -
     spark.dataSource.register(MzMLDataSource)
     # Resolved here, so that a path without a scheme means the session's file system on every machine.
     folder = qualified(spark, folder)
-    df.select(*COLUMNS).write.format("mzml").mode("overwrite").option("prefix", prefix).option(
+    packed(df).write.format("mzml").mode("overwrite").option("prefix", prefix).option(
         "maxRecords", str(max_records)
     ).save(folder)
