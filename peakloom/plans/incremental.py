@@ -149,9 +149,12 @@ def _run(
     old_singles = state.read("singletons")
     new = incoming
     if earlier:
-        members_before = state.read("scan_list").select(*key)
-        new = scratch.save(incoming.join(members_before, key, "left_anti"), "new")
-        old_singles = scratch.save(old_singles.join(incoming.select(*key), key, "left_anti"), "waiting")
+        # Of what came again only the keys are written; without any, no peaks move to leave it out.
+        sent = incoming.select(*key)
+        again = scratch.save(sent.join(state.read("scan_list").select(*key), key, "left_semi"), "again")
+        new = incoming.join(again, key, "left_anti")
+        fresher = scratch.save(sent.join(old_singles.select(*key), key, "left_semi"), "fresher")
+        old_singles = old_singles.join(fresher, key, "left_anti")
     base = state.max_cluster_id()
     fresh = _as_input(new, "batch")
 

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from peakloom import schemas
 from peakloom.operators.store import latest, lookup, point
-from peakloom.session import delete, exists, list_names, read_text, write_text
+from peakloom.session import delete, exists, list_names, read_text, write_table, write_text
 
 REJECTS = T.StructType(
     [T.StructField("path", T.StringType()), T.StructField("index", T.LongType()), T.StructField("error", T.StringType())]
@@ -107,7 +107,7 @@ class State:
     def write(self, table: str, batch_id: int, df: DataFrame) -> DataFrame:
         schema = APPENDED.get(table) or REPLACED[table]
         path = self.path(table, batch_id)
-        schemas.conform(df, schema).write.mode("overwrite").parquet(path)
+        write_table(schemas.conform(df, schema), path, "overwrite")
         return self.spark.read.schema(schema).parquet(path)
 
     def commit(self, batch_id: int, **facts) -> None:
@@ -133,7 +133,7 @@ class State:
         rows = self.store() if table == "store" else self.read(table)
         folder = f"compact-{done[-1]}-{uuid.uuid4().hex}"
         keys = SORTED[table]
-        rows.repartitionByRange(*keys).sortWithinPartitions(*keys).write.parquet(f"{self.folder}/{table}/{folder}")
+        write_table(rows.repartitionByRange(*keys).sortWithinPartitions(*keys), f"{self.folder}/{table}/{folder}")
         write_text(
             self.spark,
             f"{self.folder}/_compactions/{table}/{done[-1]:012d}.json",

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 from peakloom.functions.peaks import VECTORISED, list_lengths, runs
-from peakloom.session import qualified
+from peakloom.session import qualified, shuffles_freed
 from peakloom.sources.mzml import file_system
 
 COLUMNS = ["native_id", "precursor_mz", "rt_sec", "charge", "mz", "intensity"]
@@ -175,6 +175,7 @@ def write_mzml(df, folder: str, prefix: str = "part", max_records: int = 5000) -
     spark.dataSource.register(MzMLDataSource)
     # Resolved here, so that a path without a scheme means the session's file system on every machine.
     folder = qualified(spark, folder)
-    packed(df).write.format("mzml").mode("overwrite").option("prefix", prefix).option(
-        "maxRecords", str(max_records)
-    ).save(folder)
+    with shuffles_freed(spark):
+        packed(df).write.format("mzml").mode("overwrite").option("prefix", prefix).option(
+            "maxRecords", str(max_records)
+        ).save(folder)

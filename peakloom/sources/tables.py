@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from peakloom import schemas
 from peakloom.functions import text
 from peakloom.operators.summary import INFO_TITLES, SUMMARY_TITLES, noise_last, titled
+from peakloom.session import shuffles_freed
 
 CONSENSUS_FILE = "consensus.mzML"
 
@@ -61,7 +62,8 @@ def in_noise_last_order(assigned: DataFrame, *ties: str) -> DataFrame:
 
 def write_tsv(df: DataFrame, path: str) -> None:
     """Tab-separated part files, each with a header."""
-    df.write.mode("overwrite").option("header", True).option("sep", "\t").csv(path)
+    with shuffles_freed(df.sparkSession):
+        df.write.mode("overwrite").option("header", True).option("sep", "\t").csv(path)
 
 
 def read_tsv(spark: SparkSession, path: str) -> DataFrame:
