@@ -52,8 +52,9 @@ def _as_input(df: DataFrame, source: str, ref: str | None = None) -> DataFrame:
     reference = F.col(ref) if ref else F.lit(None)
     if "batch_id" not in df.columns:
         df = df.withColumn("batch_id", F.lit(None).cast("bigint"))
+    number = [c for c in df.columns if c == "spec_id"]
     return df.withColumn("source", F.lit(source)).withColumn("ref_cluster", reference.cast("bigint")).select(
-        *SPECTRUM_COLUMNS, "batch_id", "source", "ref_cluster"
+        *number, *SPECTRUM_COLUMNS, "batch_id", "source", "ref_cluster"
     )
 
 
@@ -87,24 +88,26 @@ def _split(spectra: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame |
 
 
 def _once(spectra: DataFrame, batch_id: int, scratch: Scratch) -> DataFrame:
-    """The batch as a written table with one row per (path, scan), the last of repeated ones.
+    """The batch as a written table with one row per (path, scan), the last of repeated ones, and its ``spec_id``.
 
     Only keys are shuffled to find repeats; peaks move only if there are any.
     """
     raw = scratch.save(
         schemas.conform(spectra.withColumn("ms_level", F.lit(2)), schemas.SPECTRUM)
         .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .withColumn("_row", F.monotonically_increasing_id()),
+        .withColumn("spec_id", F.monotonically_increasing_id()),
         "incoming",
     )
     repeats = scratch.save(
-        raw.groupBy("path", "scan").agg(F.count("*").alias("_n"), F.max("_row").alias("_last")).where("_n > 1").drop("_n"),
+        raw.groupBy("path", "scan").agg(F.count("*").alias("_n"), F.max("spec_id").alias("_last")).where("_n > 1").drop("_n"),
         "repeats",
     )
     if repeats.isEmpty():
-        return raw.drop("_row")
-    kept = raw.join(repeats, ["path", "scan"], "left").where("_last IS NULL OR _row = _last")
-    return scratch.save(kept.drop("_row", "_last"), "once")
+        return raw
+    kept = raw.join(repeats, ["path", "scan"], "left").where("_last IS NULL OR spec_id = _last")
+    once = scratch.save(kept.drop("_last"), "once")
+    scratch.drop(raw)
+    return once
 
 
 def run_batch(
@@ -160,18 +163,22 @@ def _run(
 
     if not earlier:
         with timing.step("cluster"):
-            first = cluster_spectra(fresh, params, scratch, chunk)
+            first = cluster_spectra(fresh, params, scratch, chunk, numbered=True)
         merged = initial_clusters(first.assign, scratch)
         members, left_over = merged.members, merged.singletons
         reps = first.representatives.withColumn("cluster_id", F.col("temp_cluster") + 1).drop("temp_cluster")
         candidates = merged.merge_candidates
     else:
         with timing.step("phase 1 cluster"):
-            one = cluster_spectra(fresh.unionByName(known_spectra(state)), params, scratch, chunk)
+            # Numbers below those of the batch.
+            known = known_spectra(state).withColumn("spec_id", -1 - F.monotonically_increasing_id())
+            both = fresh.unionByName(scratch.save(known, "known"))
+            one = cluster_spectra(both, params, scratch, chunk, numbered=True)
         with timing.step("phase 1 merge"):
             first = merge_clusters(one.assign, base, scratch, one.representatives, state.read("scan_list"))
             top = max(base, max_id(first.id_map))
-        second_input = new.join(first.singletons.select(*key), key, "left_semi").unionByName(old_singles)
+        alone = new.drop("spec_id").join(first.singletons.select(*key), key, "left_semi")
+        second_input = alone.unionByName(old_singles)
         with timing.step("phase 2 cluster"):
             two = cluster_spectra(_as_input(second_input, "singleton"), params, scratch, chunk)
         with timing.step("phase 2 merge"):
@@ -194,7 +201,7 @@ def _run(
         singles = state.write(
             "singletons",
             batch_id,
-            new.unionByName(old_singles).join(left_over.select(*key), key, "left_semi"),
+            new.drop("spec_id").unionByName(old_singles).join(left_over.select(*key), key, "left_semi"),
         )
         # The new samples may be members stored by earlier batches; only this batch's own are added.
         keep = scans_to_keep(scan_list, old_samples.unionByName(drawn), singles, batch_id, params.sample_size)
