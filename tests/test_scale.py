@@ -6,9 +6,10 @@ import re
 import numpy as np
 from pyspark.sql import functions as F
 
-from peakloom.catalog.inputs import document_peaks, document_spectra
+from peakloom.catalog.inputs import PARAMS, document_peaks, document_spectra
 from peakloom.functions.peaks import row_order
 from peakloom.operators.blocks import Lists, Side, dot_products
+from peakloom.operators.cluster import prepare
 
 TEXTS = [
     (1, 10, "a b\ta\n\nc "),
@@ -111,3 +112,11 @@ def test_bounds_hold_for_any_groups():
     for levels in ((64,), (512, 2048), (16384,)):
         kept = dot_products(left, right).possible(x, y, least - 5e-4, levels)
         assert kept[exact[x, y] >= least].all()
+
+
+def test_pairs_write_vectors_without_peaks(spark, scratch, tmp_path):
+    sf = documents(spark, tmp_path, TEXTS)
+    vectors = prepare(document_spectra(spark, sf), PARAMS, scratch, peaks=False)
+    assert not {"mz", "intensity"} & set(vectors.columns)
+    whole = prepare(document_spectra(spark, sf), PARAMS, scratch)
+    assert sorted(whole.drop("mz", "intensity").collect()) == sorted(vectors.collect())
